@@ -1,0 +1 @@
+"""No streaming jobs: every job of this package is a batch job over a bounded corpus."""
