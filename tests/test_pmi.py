@@ -1,0 +1,128 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import model
+import wordmill as W
+from wordmill.functions.scores import VECTOR
+from wordmill.operators.cooccurrence import count_cooccurrence
+from wordmill.plans.pmi import pairs_from_counts, stripes_from_counts
+from wordmill.sources.intermediate import read_counts, write_counts
+from wordmill.sources.sinks import render_pmi_pairs
+
+SMALL = ["A b"] * 10 + ["a, c a"] * 9 + ["d", ""]
+
+
+def random_lines(seed=3, n=300):
+    rng = random.Random(seed)
+    vocabulary = [f"w{chr(97 + i)}" for i in range(26)] + ["12", "--"]
+    weights = [1 / (i + 1) for i in range(len(vocabulary))]
+    lines = [" ".join(rng.choices(vocabulary, weights, k=rng.randrange(12))) for _ in range(n)]
+    return lines + lines[:100]
+
+
+def as_rows(df):
+    return {(r.x, r.y): tuple(r[name] for name in VECTOR) for r in df.collect()}
+
+
+def as_maps(df):
+    maps = {}
+    for row in df.collect():
+        maps.setdefault(row.word, {}).update(row.stripe)
+    return maps
+
+
+def test_hand_derived(corpus):
+    df = corpus(SMALL)
+    assert dict(W.line_frequency(df).collect()) == {"a": 19, "b": 10, "c": 9, "d": 1}
+    assert {tuple(r) for r in W.pair_counts(df).collect()} == {("a", "b", 10), ("b", "a", 10)}
+    assert {tuple(r) for r in W.pair_counts(df, min_support=9).collect()} == {
+        ("a", "b", 10),
+        ("b", "a", 10),
+        ("a", "c", 9),
+        ("c", "a", 9),
+    }
+    assert {r.value for r in render_pmi_pairs(W.pmi_pairs(df)).collect()} == {
+        "(a, b)\t19.00000, 0.90476, 10.00000, 0.47619, 10.00000, 0.47619, 1.10526, 0.04347",
+        "(b, a)\t10.00000, 0.47619, 19.00000, 0.90476, 10.00000, 0.47619, 1.10526, 0.04347",
+    }
+    maps = as_maps(W.pmi_stripes(df))
+    assert maps.keys() == {"a", "b", "c"} and maps["c"] == {}
+    assert maps["a"] == {"b": pytest.approx(0.04347, abs=1e-5)}
+    assert as_maps(W.pmi_stripes(df, min_support=11)) == {"a": {}, "b": {}, "c": {}}
+    assert W.pmi_pairs(df, min_support=11).count() == 0
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+@pytest.mark.parametrize("support, cap", [(10, 100), (3, 5), (1, 1)])
+def test_both_ways_of_counting_equal_the_model(corpus, broadcast_bytes, support, cap):
+    lines = random_lines()
+    rows, company = model.pmi_rows(lines, support, cap)
+    counts = count_cooccurrence(corpus(lines), support, cap, broadcast_bytes)
+    assert as_rows(pairs_from_counts(counts)) == rows
+    assert as_maps(stripes_from_counts(counts)) == model.stripes(rows, company)
+
+
+def test_pairs_are_symmetric_and_equal_the_stripes(corpus):
+    df = corpus(random_lines(5))
+    pairs = as_rows(W.pmi_pairs(df))
+    assert all(pairs[y, x][4:] == vector[4:] for (x, y), vector in pairs.items())
+    maps = as_maps(W.pmi_stripes(df))
+    assert {(x, y): v for x, m in maps.items() for y, v in m.items()} == {
+        key: vector[-1] for key, vector in pairs.items()
+    }
+
+
+def test_line_order_and_partitions_do_not_matter(corpus):
+    lines = random_lines(9)
+    assert as_rows(W.pmi_pairs(corpus(lines, 1))) == as_rows(W.pmi_pairs(corpus(lines[::-1], 7)))
+
+
+def test_long_stripes_are_spread_without_loss(corpus):
+    lines = ["hub " + f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)] * 2
+    df = corpus(lines)
+    whole = W.pmi_stripes(df, min_support=2)
+    spread = W.pmi_stripes(df, min_support=2, max_entries=10).cache()
+    assert as_maps(spread) == as_maps(whole)
+    assert {r.part for r in whole.collect()} == {0}
+    hub = [len(r.stripe) for r in spread.where("word = 'hub'").collect()]
+    assert sum(hub) == 60 and len(hub) > 3 and max(hub) < 30
+    assert spread.groupBy("word").count().where("count > 1").count() == 1
+
+
+def test_repeated_line_costs_one_set(corpus):
+    counts = count_cooccurrence(corpus(["b a"] * 500 + ["a b"] * 500), 10)
+    assert [tuple(r) for r in counts.pairs.collect()] == [("a", "b", 1000, 1000, 1000)]
+
+
+def test_counts_survive_a_round_trip(spark, corpus, tmp_path):
+    counts = count_cooccurrence(corpus(random_lines()))
+    for _ in range(2):  # the second write replaces the first
+        write_counts(counts, str(tmp_path / "counts"))
+    again = read_counts(spark, str(tmp_path / "counts"))
+    assert as_rows(pairs_from_counts(again)) == as_rows(pairs_from_counts(counts))
+    assert as_maps(stripes_from_counts(again)) == as_maps(stripes_from_counts(counts))
+
+
+def test_ranking(spark):
+    rows = [("b", "c", 0.5), ("a", "d", -0.2), ("a", "e", 0.5), ("z", "z", 1.0), ("a", "c", 0.5)]
+    df = spark.createDataFrame(rows, "x string, y string, log10_pmi float")
+    ranked = [(r.x, r.y) for r in W.pmi_ranked(df).collect()]
+    assert ranked == [("z", "z"), ("a", "c"), ("a", "e"), ("b", "c"), ("a", "d")]
+    assert [(r.x, r.y) for r in W.pmi_top(df, 2).collect()] == ranked[:2]
+
+
+def test_empty_corpus(corpus):
+    empty = corpus(SMALL).limit(0)
+    assert W.pmi_pairs(empty).count() == 0
+    assert W.pmi_stripes(empty).count() == 0
+    assert W.pair_counts(corpus(["", "1 2"])).count() == 0
+
+
+def test_frequencies_reach_only_a_checked_broadcast(corpus):
+    lines = random_lines()
+    for limit, joins in ((1 << 20, 3), (0, 0)):
+        counts = count_cooccurrence(corpus(lines), broadcast_bytes=limit)
+        plan = counts.pairs._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("strategy=broadcast") == joins

@@ -23,19 +23,18 @@ class Counts:
     ``words``: ``word, n, paired`` - lines holding the word, and whether it ever had company;
     the row whose word is null counts the lines themselves.
     ``pairs``: ``x, y, n_xy, n_x, n_y`` - every pair with enough support, one way round.
+    ``vocabulary``: number of words with enough support.
     """
 
     words: DataFrame
     pairs: DataFrame
+    vocabulary: int
     min_support: int = T.MIN_SUPPORT
     max_tokens: int = T.MAX_TOKENS
 
     def total(self) -> DataFrame:
         return self.words.where(F.col("word").isNull()).select(F.col("n").alias("n_lines"))
 
-    def frequent(self) -> DataFrame:
-        return frequent_words(self.words, self.min_support)
-
 
 def frequent_words(words: DataFrame, min_support: int) -> DataFrame:
     return words.where(F.col("word").isNotNull() & (F.col("n") >= min_support)).select("word", "n")
@@ -79,11 +78,6 @@ def set_pairs(sets: DataFrame) -> DataFrame:
     return firsts.select("copies", "x", F.explode(rest).alias("y"))
 
 
-def fits_broadcast(words: DataFrame, limit: int) -> bool:
-    size = words.agg(F.sum(F.octet_length("word") + ENTRY_BYTES).alias("bytes")).first()
-    return (size["bytes"] or 0) <= limit
-
-
 def count_coded_pairs(bags: DataFrame, frequent: DataFrame, min_support: int) -> DataFrame:
     """Pair counts over frequent words only, with words as numbers: ``x, y, n_xy, n_x, n_y``.
 
@@ -151,6 +145,10 @@ def count_cooccurrence(
     """Count words and pairs of a corpus; computes the dictionary, leaves the pairs lazy."""
     words = materialise(dictionary(lines, max_tokens))
     frequent = frequent_words(words, min_support)
-    bags = word_sets(lines, max_tokens)
-    count = count_coded_pairs if fits_broadcast(frequent, broadcast_bytes) else count_plain_pairs
-    return Counts(words, count(bags, frequent, min_support), min_support, max_tokens)
+    size = frequent.agg(
+        F.count("*").alias("words"), F.sum(F.octet_length("word") + ENTRY_BYTES).alias("bytes")
+    ).first()
+    small = (size["bytes"] or 0) <= broadcast_bytes
+    count = count_coded_pairs if small else count_plain_pairs
+    pairs = count(word_sets(lines, max_tokens), frequent, min_support)
+    return Counts(words, pairs, size["words"], min_support, max_tokens)

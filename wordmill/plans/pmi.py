@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from wordmill.functions import scores as S
 from wordmill.functions.text import MAX_TOKENS, MIN_SUPPORT
 from wordmill.operators.cooccurrence import Counts, count_cooccurrence
 from wordmill.operators.stripes import MAX_ENTRIES, collect_stripes, part_of, parts_for
+from wordmill.sources.checkpoints import materialise
 
 
 def _both_ways(half: DataFrame, swapped: dict[str, str]) -> DataFrame:
@@ -45,19 +48,26 @@ def pairs_from_counts(counts: Counts) -> DataFrame:
     return _both_ways(_scored(counts), swapped).select("x", "y", *S.VECTOR)
 
 
-def stripes_from_counts(counts: Counts, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    vocabulary = counts.frequent().agg(F.count("*").alias("n")).scalar()
-    # No word has more partners than there are other frequent words, nor than its lines have
-    # room for at the minimum support.
-    room = F.floor(F.col("n_x") * (counts.max_tokens - 1) / counts.min_support)
-    parts = parts_for(F.least(vocabulary, room), max_entries)
-    half = _scored(counts).select("x", "y", "n_x", "n_y", "log10_pmi")
-    entries = _both_ways(half, {"x": "y", "n_x": "n_y"}).select(
-        F.col("x").alias("word"),
-        part_of(F.col("y"), parts).alias("part"),
-        F.col("y").alias("partner"),
-        "log10_pmi",
+def _entries(counts: Counts) -> DataFrame:
+    half = _scored(counts).select("x", "y", "log10_pmi")
+    return _both_ways(half, {"x": "y"}).select(
+        F.col("x").alias("word"), F.col("y").alias("partner"), "log10_pmi"
     )
+
+
+def stripes_from_counts(counts: Counts, max_entries: int = MAX_ENTRIES) -> DataFrame:
+    if counts.vocabulary <= max_entries:
+        # No word has more partners than there are frequent words.
+        entries = _entries(counts).withColumn("part", F.lit(0))
+    else:
+        # The pairs are read twice, so they are counted once and kept.
+        entries = _entries(replace(counts, pairs=materialise(counts.pairs)))
+        partners = entries.groupBy("word").agg(F.count("*").alias("partners"))
+        long = partners.where(F.col("partners") > max_entries)
+        parts = parts_for(F.coalesce("partners", F.lit(0)), max_entries)
+        entries = entries.join(long, "word", "left").select(
+            "word", part_of(F.col("partner"), parts).alias("part"), "partner", "log10_pmi"
+        )
     # Words that had company but no partner with enough support keep an empty map.
     bare = counts.words.where(F.col("word").isNotNull() & F.col("paired")).select(
         "word",
@@ -94,7 +104,7 @@ def pmi_stripes(
     """One map from partner to log10 PMI per word: ``word, part, stripe``.
 
     Every word that shares a line with another has a row, empty or not. ``part`` is 0 unless a
-    word may have more than ``max_entries`` partners; those are spread over several rows.
+    word has more than ``max_entries`` partners; those are spread over several rows.
     """
     counts = count_cooccurrence(lines, min_support, max_tokens)
     return stripes_from_counts(counts, max_entries)

@@ -40,6 +40,10 @@ def _tagged(lines: DataFrame) -> DataFrame:
     return lines.select("file", "block", "pos", "value", tag.alias("tag"))
 
 
+def _with_blank(line: Column) -> Column:
+    return F.concat(line["value"], F.lit(" "))
+
+
 def _count(tag: str) -> Column:
     return F.count(F.when(F.col("tag") == tag, True))
 
@@ -98,7 +102,7 @@ def assemble_articles(lines: DataFrame) -> DataFrame:
         wanted.repartition("file", "opened")
         .groupBy("file", "opened", "article_no")
         .agg(F.sort_array(F.collect_list("line")).alias("lines"))
-        .withColumn("piece", F.array_join(F.transform("lines", lambda l: F.concat(l["value"], F.lit(" "))), ""))
+        .withColumn("piece", F.array_join(F.transform("lines", _with_blank), ""))
     )
     so_far = Window.partitionBy("file", "opened").orderBy("article_no")
     so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -118,8 +122,8 @@ def read_well_formed_articles(spark: SparkSession, path: str | list[str]) -> Dat
     Each end tag then ends one record of the scan, wherever the splits of a file fall.
     """
     records = spark.read.option("lineSep", END_TAG).text(path)
-    # Everything up to the start tag's line is not part of the article.
-    body = F.regexp_extract("value", rf"(?s){START_TAG}\r?\n(.*)\z", 1)
+    # Everything up to the last start tag's line is not part of the article.
+    body = F.regexp_extract("value", rf"(?s)\A.*{START_TAG}\r?\n(.*)\z", 1)
     article = F.replace(F.replace(body, F.lit("\r\n"), F.lit("\n")), F.lit("\n"), F.lit(" "))
     return records.where(F.col("value").rlike(START_TAG)).select(
         F.col("_metadata.file_path").alias("file"), article.alias("article")
