@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 import model
 import wordmill as W
@@ -54,16 +53,32 @@ def test_hand_derived(corpus):
     assert W.pmi_pairs(df, min_support=11).count() == 0
 
 
-@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
+# The ways to count: numbered words, without and with very frequent ones; words as they are,
+# without very frequent ones, with a few that are broadcast, and with too many for that.
+WAYS = [(1 << 20, 10**6), (1 << 20, 40), (0, 10**6), (700, 100), (0, 40)]
+
+
+@pytest.mark.parametrize("broadcast_bytes, frequent_lines", WAYS)
 @pytest.mark.parametrize("support, cap", [(10, 100), (3, 5), (1, 1)])
-def test_both_ways_of_counting_equal_the_model(corpus, broadcast_bytes, support, cap):
+def test_every_way_of_counting_equals_the_model(
+    corpus, broadcast_bytes, frequent_lines, support, cap
+):
     lines = random_lines()
     rows, company = model.pmi_rows(lines, support, cap)
-    counts = count_cooccurrence(corpus(lines), support, cap, broadcast_bytes)
+    counts = count_cooccurrence(corpus(lines), support, cap, broadcast_bytes, frequent_lines)
     assert as_rows(pairs_from_counts(counts)) == rows
     assert as_maps(stripes_from_counts(counts)) == model.stripes(rows, company)
 
 
+def test_the_ways_of_counting_differ_in_what_they_broadcast(corpus):
+    broadcasts = []
+    for broadcast_bytes, frequent_lines in WAYS:
+        counts = count_cooccurrence(corpus(random_lines()), 10, 100, broadcast_bytes, frequent_lines)
+        plan = counts.pairs._jdf.queryExecution().optimizedPlan().toString()
+        broadcasts.append(plan.count("strategy=broadcast"))
+    assert broadcasts == [3, 4, 0, 2, 0]
+
+
 def test_pairs_are_symmetric_and_equal_the_stripes(corpus):
     df = corpus(random_lines(5))
     pairs = as_rows(W.pmi_pairs(df))
@@ -119,10 +134,3 @@ def test_empty_corpus(corpus):
     assert W.pmi_stripes(empty).count() == 0
     assert W.pair_counts(corpus(["", "1 2"])).count() == 0
 
-
-def test_frequencies_reach_only_a_checked_broadcast(corpus):
-    lines = random_lines()
-    for limit, joins in ((1 << 20, 3), (0, 0)):
-        counts = count_cooccurrence(corpus(lines), broadcast_bytes=limit)
-        plan = counts.pairs._jdf.queryExecution().optimizedPlan().toString()
-        assert plan.count("strategy=broadcast") == joins

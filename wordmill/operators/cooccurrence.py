@@ -1,4 +1,15 @@
-"""Words that share lines: dictionary, word sets, pairs and their counts."""
+"""Words that share lines: dictionary, word sets, pairs and their counts.
+
+Pairs are what costs: a corpus has many more of them than it has words. They are kept cheap by
+
+* counting copies of a word set once, weighted;
+* dropping words without the support a pair needs before pairs are made, and writing words as
+  numbers, both as long as the dictionary is small enough to broadcast;
+* making each pair once, under the rarer of its two words, and shuffling one row per word and
+  line with all its partners instead of one row per pair. The rarer word of a pair is never a
+  very frequent one unless both are, so no word gathers a large share of the rows;
+* counting pairs of two very frequent words inside the map tasks instead, where they repeat.
+"""
 
 from __future__ import annotations
 
@@ -10,11 +21,17 @@ from pyspark.sql import functions as F
 from wordmill.functions import text as T
 from wordmill.sources.checkpoints import materialise
 
-# The frequent words are broadcast only while they are estimated to stay below this size;
-# the estimate takes the bytes of each word plus a fixed overhead per entry.
+# Tables of words are broadcast only while they are estimated to stay below this size; the
+# estimate takes the bytes of each word plus a fixed overhead per entry.
 BROADCAST_BYTES = 64 << 20
 ENTRY_BYTES = 64
 
+# A word is very frequent if it is in more lines than both of these allow: a number of lines
+# that one task gathers easily, and a share of the corpus. At most ``max_tokens`` / share words
+# can be so frequent, whatever the size of the corpus.
+FREQUENT_LINES = 200_000
+FREQUENT_SHARE = 1e-5
+
 
 @dataclass(frozen=True)
 class Counts:
@@ -36,7 +53,10 @@ class Counts:
         return self.words.where(F.col("word").isNull()).select(F.col("n").alias("n_lines"))
 
 
-def frequent_words(words: DataFrame, min_support: int) -> DataFrame:
+PAIR_COLUMNS = ["x", "y", "n_xy", "n_x", "n_y"]
+
+
+def supported_words(words: DataFrame, min_support: int) -> DataFrame:
     return words.where(F.col("word").isNotNull() & (F.col("n") >= min_support)).select("word", "n")
 
 
@@ -66,74 +86,118 @@ def word_sets(lines: DataFrame, max_tokens: int) -> DataFrame:
     return bags.groupBy("bag").agg(F.count("*").alias("copies"))
 
 
-def set_pairs(sets: DataFrame) -> DataFrame:
-    """Each pair of a sorted ``words`` array once: ``copies, x, y``.
+def numbered(words: DataFrame) -> DataFrame:
+    """``word, n, id`` numbered from the rarest word up; computing it again gives the same.
 
-    Two nested generators of one code-generated stage; at most 4,950 pairs per line at the
-    default token cap, and none of them is ever held as an array.
+    One task sorts the words, so the table has to be one of checked size.
     """
-    words = F.col("words")
-    firsts = sets.select("copies", "words", F.posexplode(T.all_but_last(words)).alias("i", "x"))
-    rest = F.slice(words, F.col("i") + 2, F.size(words))
-    return firsts.select("copies", "x", F.explode(rest).alias("y"))
+    order = Window.orderBy("n", "word")
+    return words.select("word", "n", (F.row_number().over(order) - 1).alias("id"))
+
+
+def numbered_sets(bags: DataFrame, numbers: DataFrame, limit: int) -> DataFrame:
+    """Word sets as sorted numbers, without the words that have none: ``copies, words, rarer``.
+
+    ``rarer`` is how many of the words, at the front, are in at most ``limit`` lines. The sets
+    are put back together where they are: the bags already lie partitioned by bag.
+    """
+    tokens = bags.select("bag", "copies", F.explode(F.split("bag", " ")).alias("word"))
+    return (
+        tokens.join(F.broadcast(numbers), "word")
+        .groupBy("bag", "copies")
+        .agg(
+            F.sort_array(F.collect_list("id")).alias("words"),
+            F.count_if(F.col("n") <= limit).alias("rarer"),
+        )
+        .select("copies", "words", "rarer")
+    )
 
 
-def count_coded_pairs(bags: DataFrame, frequent: DataFrame, min_support: int) -> DataFrame:
-    """Pair counts over frequent words only, with words as numbers: ``x, y, n_xy, n_x, n_y``.
+def ordered_sets(bags: DataFrame, frequent: DataFrame) -> DataFrame:
+    """The same with the words themselves, where only the very frequent ones are numbered.
 
-    A pair cannot have more support than its words, so rare words go before pairs are made.
-    Two word numbers packed into one long make the smallest possible key for the large
-    shuffle. ``frequent`` must fit a broadcast.
+    The others come first, in alphabetical order.
     """
-    # Numbered by alphabet, so that computing it again gives the same numbers; one task is
-    # enough for a table of checked size.
-    number = (F.row_number().over(Window.orderBy("word")) - 1).cast("bigint")
-    numbers = frequent.select("word", "n", number.alias("id"))
-
-    sets = (
-        bags.select("bag", "copies", F.explode(F.split("bag", " ")).alias("word"))
-        .join(F.broadcast(numbers.select("word", "id")), "word")
-        .groupBy("bag", "copies")  # already partitioned by the bag: no shuffle
-        .agg(F.sort_array(F.collect_list("id")).alias("words"))
+    tokens = bags.select("bag", "copies", F.explode(F.split("bag", " ")).alias("word"))
+    ranked = F.struct(F.coalesce("id", F.lit(-1)).alias("id"), "word")
+    return (
+        tokens.join(F.broadcast(frequent.select("word", "id")), "word", "left")
+        .groupBy("bag", "copies")
+        .agg(
+            F.sort_array(F.collect_list(ranked)).alias("ranked"),
+            F.count_if(F.col("id").isNull()).alias("rarer"),
+        )
+        .select("copies", F.col("ranked.word").alias("words"), "rarer")
+    )
+
+
+def plain_sets(bags: DataFrame, rarer: int) -> DataFrame:
+    return bags.select("copies", F.split("bag", " ").alias("words"), F.lit(rarer).alias("rarer"))
+
+
+def _partners(sets: DataFrame) -> DataFrame:
+    """Each word of a sorted set with those after it: ``x, copies, rare, partners``."""
+    words = F.col("words")
+    firsts = sets.select(
+        "copies", "rarer", "words", F.posexplode(T.all_but_last(words)).alias("i", "x")
     )
-    key = F.shiftleft("x", 32).bitwiseOR(F.col("y"))
-    counted = (
-        set_pairs(sets)
-        .groupBy(key.alias("xy"))
-        .agg(F.sum("copies").alias("n_xy"))
-        .where(F.col("n_xy") >= min_support)
+    return firsts.select(
+        "x",
+        "copies",
+        (F.col("i") < F.col("rarer")).alias("rare"),
+        F.slice(words, F.col("i") + 2, F.size(words)).alias("partners"),
     )
+
+
+def _counted(partners: DataFrame) -> DataFrame:
+    # The pairs of a line are never held: the generator feeds the aggregate one by one.
+    pairs = partners.select("x", F.explode("partners").alias("y"), "copies")
+    return pairs.groupBy("x", "y").agg(F.sum("copies").alias("n_xy"))
+
+
+def count_under_rarer_word(partners: DataFrame) -> DataFrame:
+    """Pair counts from one shuffled row per word and line: ``x, y, n_xy``.
+
+    Partitioned by x the counts need no further shuffle, and in order of x the aggregate works
+    on one small neighbourhood of its hash map at a time.
+    """
+    return _counted(partners.repartition("x").sortWithinPartitions("x"))
+
+
+def count_in_map_tasks(partners: DataFrame) -> DataFrame:
+    """Pair counts added up before the shuffle, for pairs that may be on any share of the lines."""
+    return _counted(partners)
+
+
+def count_sets(sets: DataFrame, any_frequent: bool) -> DataFrame:
+    """Number of lines for each pair of the sorted sets: ``x, y, n_xy``."""
+    partners = _partners(sets)
+    if not any_frequent:
+        return count_under_rarer_word(partners)
+    rare = count_under_rarer_word(partners.where("rare"))
+    return rare.unionByName(count_in_map_tasks(partners.where(~F.col("rare"))))
+
+
+def with_words(counts: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Numbers back to words, and how many lines have each."""
     x = numbers.select(F.col("id").alias("x_id"), F.col("word").alias("x"), F.col("n").alias("n_x"))
     y = numbers.select(F.col("id").alias("y_id"), F.col("word").alias("y"), F.col("n").alias("n_y"))
     return (
-        counted.select(
-            F.shiftright("xy", 32).alias("x_id"),
-            F.col("xy").bitwiseAND(F.lit(0xFFFFFFFF)).alias("y_id"),
-            "n_xy",
-        )
+        counts.withColumnsRenamed({"x": "x_id", "y": "y_id"})
         .join(F.broadcast(x), "x_id")
         .join(F.broadcast(y), "y_id")
-        .select("x", "y", "n_xy", "n_x", "n_y")
+        .select(*PAIR_COLUMNS)
     )
 
 
-def count_plain_pairs(bags: DataFrame, frequent: DataFrame, min_support: int) -> DataFrame:
-    """The same when the frequent words are too many to broadcast.
+def with_frequencies(counts: DataFrame, words: DataFrame) -> DataFrame:
+    """How many lines have each word of the pairs.
 
-    With so large a vocabulary rare words are a small share of all tokens, and dropping them
-    first would shuffle every token twice. Pairs are counted as they come, and the frequencies
-    join the few that have support; the adaptive join splits a word with very many partners.
+    Only pairs with support get here. The adaptive join splits a word with very many partners.
     """
-    sets = bags.select("copies", F.split("bag", " ").alias("words"))
-    counted = (
-        set_pairs(sets)
-        .groupBy("x", "y")
-        .agg(F.sum("copies").alias("n_xy"))
-        .where(F.col("n_xy") >= min_support)
-    )
-    x = frequent.select(F.col("word").alias("x"), F.col("n").alias("n_x"))
-    y = frequent.select(F.col("word").alias("y"), F.col("n").alias("n_y"))
-    return counted.join(x, "x").join(y, "y").select("x", "y", "n_xy", "n_x", "n_y")
+    x = words.select(F.col("word").alias("x"), F.col("n").alias("n_x"))
+    y = words.select(F.col("word").alias("y"), F.col("n").alias("n_y"))
+    return counts.join(x, "x").join(y, "y").select(*PAIR_COLUMNS)
 
 
 def count_cooccurrence(
@@ -141,14 +205,37 @@ def count_cooccurrence(
     min_support: int = T.MIN_SUPPORT,
     max_tokens: int = T.MAX_TOKENS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    frequent_lines: int = FREQUENT_LINES,
 ) -> Counts:
     """Count words and pairs of a corpus; computes the dictionary, leaves the pairs lazy."""
     words = materialise(dictionary(lines, max_tokens))
-    frequent = frequent_words(words, min_support)
-    size = frequent.agg(
-        F.count("*").alias("words"), F.sum(F.octet_length("word") + ENTRY_BYTES).alias("bytes")
+    supported = supported_words(words, min_support)
+
+    total = words.where(F.col("word").isNull()).select("n").first()
+    limit = max(frequent_lines, int(FREQUENT_SHARE * (total["n"] if total else 0)))
+    entry = F.octet_length("word") + ENTRY_BYTES
+    very_frequent = F.col("n") > limit
+    size = supported.agg(
+        F.count("*").alias("words"),
+        F.sum(entry).alias("bytes"),
+        F.count_if(very_frequent).alias("frequent_words"),
+        F.sum(F.when(very_frequent, entry)).alias("frequent_bytes"),
     ).first()
-    small = (size["bytes"] or 0) <= broadcast_bytes
-    count = count_coded_pairs if small else count_plain_pairs
-    pairs = count(word_sets(lines, max_tokens), frequent, min_support)
+
+    bags = word_sets(lines, max_tokens)
+    any_frequent = size["frequent_words"] > 0
+    if (size["bytes"] or 0) <= broadcast_bytes:
+        numbers = numbered(supported)
+        counts = count_sets(numbered_sets(bags, numbers, limit), any_frequent)
+        pairs = with_words(counts.where(F.col("n_xy") >= min_support), numbers)
+        return Counts(words, pairs, size["words"], min_support, max_tokens)
+
+    if not any_frequent:
+        counts = count_sets(plain_sets(bags, rarer=max_tokens), any_frequent)
+    elif size["frequent_bytes"] <= broadcast_bytes:
+        frequent = numbered(supported.where(very_frequent))
+        counts = count_sets(ordered_sets(bags, frequent), any_frequent)
+    else:
+        counts = count_in_map_tasks(_partners(plain_sets(bags, rarer=0)))
+    pairs = with_frequencies(counts.where(F.col("n_xy") >= min_support), supported)
     return Counts(words, pairs, size["words"], min_support, max_tokens)

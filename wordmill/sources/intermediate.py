@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from wordmill.functions.text import MAX_TOKENS, MIN_SUPPORT
-from wordmill.operators.cooccurrence import Counts, frequent_words
+from wordmill.operators.cooccurrence import Counts, supported_words
 
 
 def write_counts(counts: Counts, path: str) -> None:
@@ -19,5 +19,5 @@ def read_counts(
     """Counts written before; the two parameters must be those they were counted with."""
     words = spark.read.parquet(f"{path}/words")
     pairs = spark.read.parquet(f"{path}/pairs")
-    vocabulary = frequent_words(words, min_support).count()
+    vocabulary = supported_words(words, min_support).count()
     return Counts(words, pairs, vocabulary, min_support, max_tokens)

@@ -23,11 +23,11 @@ def read_table_lines(spark: SparkSession, path: str, column: str) -> DataFrame:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer splits than the session has cores.
+    """Use all cores on a scan that has fewer splits than the session has parallelism.
 
     A large table has many splits and is read as it lies, without this shuffle.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < cores:
-        return scan.repartition(4 * cores)
+    parallelism = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < parallelism:
+        return scan.repartition(parallelism)
     return scan
