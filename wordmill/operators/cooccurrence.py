@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.functions import text as T
@@ -56,36 +56,37 @@ class Counts:
 PAIR_COLUMNS = ["x", "y", "n_xy", "n_x", "n_y"]
 
 
-def supported_words(words: DataFrame, min_support: int) -> DataFrame:
-    return words.where(F.col("word").isNotNull() & (F.col("n") >= min_support)).select("word", "n")
-
+def is_supported(min_support: int) -> Column:
+    return F.col("word").isNotNull() & (F.col("n") >= min_support)
 
-def dictionary(lines: DataFrame, max_tokens: int) -> DataFrame:
-    """Line frequency of every word, and of the null word that stands for the line itself.
 
-    Counting the lines along with the words saves a scan of the corpus.
-    """
-    words = lines.select(T.distinct_words(F.col("value"), max_tokens).alias("words"))
-    marked = F.array_append("words", F.lit(None).cast("string"))
-    return (
-        words.select((F.size("words") > 1).alias("paired"), F.explode(marked).alias("word"))
-        .groupBy("word")
-        .agg(F.count("*").alias("n"), F.bool_or("paired").alias("paired"))
-    )
+def supported_words(words: DataFrame, min_support: int) -> DataFrame:
+    return words.where(is_supported(min_support)).select("word", "n")
 
 
 def word_sets(lines: DataFrame, max_tokens: int) -> DataFrame:
     """The distinct word sets of the lines and how many lines have each: ``bag, copies``.
 
     A bag is the sorted set joined by blanks. Copies of a line are counted in the map task, so
-    a line that is repeated all over the corpus costs its pairs once. The shuffle also evens
-    out tasks, and makes the bag a key that needs no generated line numbers.
+    a line that is repeated all over the corpus is kept once and makes its pairs once. The
+    shuffle also evens out tasks, and makes the bag a key that needs no generated line numbers.
     """
     words = F.sort_array(T.distinct_words(F.col("value"), max_tokens))
     bags = lines.select(F.array_join(words, " ").alias("bag"))
     return bags.groupBy("bag").agg(F.count("*").alias("copies"))
 
 
+def dictionary(bags: DataFrame) -> DataFrame:
+    """Line frequency of every word, and of the null word that stands for the line itself."""
+    words = F.when(F.col("bag") != "", F.split("bag", " ")).otherwise(F.array().cast("array<string>"))
+    marked = F.array_append(words, F.lit(None).cast("string"))
+    return (
+        bags.select("copies", F.contains("bag", F.lit(" ")).alias("paired"), F.explode(marked).alias("word"))
+        .groupBy("word")
+        .agg(F.sum("copies").alias("n"), F.bool_or("paired").alias("paired"))
+    )
+
+
 def numbered(words: DataFrame) -> DataFrame:
     """``word, n, id`` numbered from the rarest word up; computing it again gives the same.
 
@@ -95,16 +96,23 @@ def numbered(words: DataFrame) -> DataFrame:
     return words.select("word", "n", (F.row_number().over(order) - 1).alias("id"))
 
 
+def _tokens(bags: DataFrame) -> DataFrame:
+    """``bag_id, copies, word`` of kept bags. Reading them again gives the same numbers."""
+    return bags.withColumn("bag_id", F.monotonically_increasing_id()).select(
+        "bag_id", "copies", F.explode(F.split("bag", " ")).alias("word")
+    )
+
+
 def numbered_sets(bags: DataFrame, numbers: DataFrame, limit: int) -> DataFrame:
     """Word sets as sorted numbers, without the words that have none: ``copies, words, rarer``.
 
-    ``rarer`` is how many of the words, at the front, are in at most ``limit`` lines. The sets
-    are put back together where they are: the bags already lie partitioned by bag.
+    ``rarer`` is how many of the words, at the front, are in at most ``limit`` lines. A set is
+    put back together in the task that took it apart; what is shuffled is its numbers.
     """
-    tokens = bags.select("bag", "copies", F.explode(F.split("bag", " ")).alias("word"))
     return (
-        tokens.join(F.broadcast(numbers), "word")
-        .groupBy("bag", "copies")
+        _tokens(bags)
+        .join(F.broadcast(numbers), "word")
+        .groupBy("bag_id", "copies")
         .agg(
             F.sort_array(F.collect_list("id")).alias("words"),
             F.count_if(F.col("n") <= limit).alias("rarer"),
@@ -118,11 +126,11 @@ def ordered_sets(bags: DataFrame, frequent: DataFrame) -> DataFrame:
 
     The others come first, in alphabetical order.
     """
-    tokens = bags.select("bag", "copies", F.explode(F.split("bag", " ")).alias("word"))
     ranked = F.struct(F.coalesce("id", F.lit(-1)).alias("id"), "word")
     return (
-        tokens.join(F.broadcast(frequent.select("word", "id")), "word", "left")
-        .groupBy("bag", "copies")
+        _tokens(bags)
+        .join(F.broadcast(frequent.select("word", "id")), "word", "left")
+        .groupBy("bag_id", "copies")
         .agg(
             F.sort_array(F.collect_list(ranked)).alias("ranked"),
             F.count_if(F.col("id").isNull()).alias("rarer"),
@@ -207,23 +215,25 @@ def count_cooccurrence(
     broadcast_bytes: int = BROADCAST_BYTES,
     frequent_lines: int = FREQUENT_LINES,
 ) -> Counts:
-    """Count words and pairs of a corpus; computes the dictionary, leaves the pairs lazy."""
-    words = materialise(dictionary(lines, max_tokens))
+    """Count words and pairs of a corpus; computes the dictionary, leaves the pairs lazy.
+
+    The corpus is read and tokenised once; its word sets and the dictionary are kept in the
+    shared folder.
+    """
+    bags = materialise(word_sets(lines, max_tokens))
+    words = materialise(dictionary(bags))
     supported = supported_words(words, min_support)
 
-    total = words.where(F.col("word").isNull()).select("n").first()
-    limit = max(frequent_lines, int(FREQUENT_SHARE * (total["n"] if total else 0)))
     entry = F.octet_length("word") + ENTRY_BYTES
-    very_frequent = F.col("n") > limit
-    size = supported.agg(
-        F.count("*").alias("words"),
-        F.sum(entry).alias("bytes"),
-        F.count_if(very_frequent).alias("frequent_words"),
-        F.sum(F.when(very_frequent, entry)).alias("frequent_bytes"),
+    size = words.agg(
+        F.max(F.when(F.col("word").isNull(), F.col("n"))).alias("lines"),
+        F.max(F.when(F.col("word").isNotNull(), F.col("n"))).alias("most"),
+        F.count_if(is_supported(min_support)).alias("words"),
+        F.sum(F.when(is_supported(min_support), entry)).alias("bytes"),
     ).first()
+    limit = max(frequent_lines, int(FREQUENT_SHARE * (size["lines"] or 0)))
+    any_frequent = (size["most"] or 0) > limit
 
-    bags = word_sets(lines, max_tokens)
-    any_frequent = size["frequent_words"] > 0
     if (size["bytes"] or 0) <= broadcast_bytes:
         numbers = numbered(supported)
         counts = count_sets(numbered_sets(bags, numbers, limit), any_frequent)
@@ -232,10 +242,11 @@ def count_cooccurrence(
 
     if not any_frequent:
         counts = count_sets(plain_sets(bags, rarer=max_tokens), any_frequent)
-    elif size["frequent_bytes"] <= broadcast_bytes:
-        frequent = numbered(supported.where(very_frequent))
-        counts = count_sets(ordered_sets(bags, frequent), any_frequent)
     else:
-        counts = count_in_map_tasks(_partners(plain_sets(bags, rarer=0)))
+        frequent = supported.where(F.col("n") > limit)
+        if frequent.agg(F.sum(entry)).first()[0] <= broadcast_bytes:
+            counts = count_sets(ordered_sets(bags, numbered(frequent)), any_frequent)
+        else:
+            counts = count_in_map_tasks(_partners(plain_sets(bags, rarer=0)))
     pairs = with_frequencies(counts.where(F.col("n_xy") >= min_support), supported)
     return Counts(words, pairs, size["words"], min_support, max_tokens)
