@@ -44,10 +44,18 @@ def all_but_last(array: Column) -> Column:
     return F.slice(array, F.lit(1), F.greatest(F.size(array) - 1, F.lit(0)))
 
 
-def lines_of(text: Column) -> Column:
-    """The lines of a text; CR, LF and CRLF end a line, and the empty text has none."""
+def line_parts(text: Column) -> Column:
+    """A text cut at its line ends, which are CR, LF and CRLF."""
     unified = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
-    parts = F.split(unified, "\n")
-    # The piece after a final line end (or of the empty text) is not a line.
-    closed = (F.length(unified) == 0) | F.endswith(unified, F.lit("\n"))
-    return F.slice(parts, F.lit(1), F.size(parts) - closed.cast("int"))
+    return F.split(unified, "\n")
+
+
+def without_open_end(parts: Column) -> Column:
+    """The lines among the parts: the piece after a final line end is not one."""
+    open_end = (F.element_at(parts, -1) == "").cast("int")
+    return F.slice(parts, F.lit(1), F.size(parts) - open_end)
+
+
+def lines_of(text: Column) -> Column:
+    """The lines of a text; the empty text has none."""
+    return without_open_end(line_parts(text))

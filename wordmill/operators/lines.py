@@ -13,7 +13,10 @@ def split_lines(df: DataFrame, column: str, keep: list[str] | None = None) -> Da
 
     With ``keep``, those columns and the line's number in its text (from 0) come along.
     """
-    lines = T.lines_of(F.col(column))
+    kept = keep or []
+    # Cut in a step of its own: a generator works out a repeated expression repeatedly.
+    parts = df.select(*kept, T.line_parts(F.col(column)).alias("parts"))
+    lines = T.without_open_end(F.col("parts"))
     if keep is None:
-        return df.select(F.explode(lines).alias("value"))
-    return df.select(*keep, F.posexplode(lines).alias("line_no", "value"))
+        return parts.select(F.explode(lines).alias("value"))
+    return parts.select(*kept, F.posexplode(lines).alias("line_no", "value"))
