@@ -140,6 +140,23 @@ def pmi_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _widen(W.pmi_top(W.pmi_pairs(_lines(spark, sf_dir)), TOP_K))
 
 
+def pmi_pairs_large_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted as if the dictionary were too large to broadcast."""
+    counts = count_cooccurrence(_lines(spark, sf_dir), broadcast_bytes=0)
+    return _widen(pairs_from_counts(counts))
+
+
+def pmi_pairs_frequent_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counted as if words on more than 500 lines were too frequent for one task."""
+    counts = count_cooccurrence(_lines(spark, sf_dir), frequent_lines=500)
+    return _widen(pairs_from_counts(counts))
+
+
+def pair_counts_talk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of the conversations, however rare."""
+    return W.pair_counts(_talk(spark, sf_dir), min_support=1)
+
+
 def pmi_pairs_talk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _widen(W.pmi_pairs(_talk(spark, sf_dir)))
 
@@ -232,6 +249,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pmi_pairs_text": pmi_pairs_text,
         "pmi_stripes": pmi_stripes,
         "pmi_top": pmi_top,
+        "pmi_pairs_large_dictionary": pmi_pairs_large_dictionary,
+        "pmi_pairs_frequent_words": pmi_pairs_frequent_words,
+        "pair_counts_talk": pair_counts_talk,
         "pmi_pairs_talk": pmi_pairs_talk,
         "pmi_stripes_talk": pmi_stripes_talk,
         "bigram_counts": bigram_counts,
@@ -277,8 +297,8 @@ def _sql_words(key: str = "doc_id", table: str = "documents") -> str:
     )"""
 
 
-def _sql_line_words(key: str = "doc_id", table: str = "documents") -> str:
-    return _sql_words(key, table) + """, bounded AS (
+def _sql_line_words(key: str = "doc_id", table: str = "documents", support: int = 10) -> str:
+    return _sql_words(key, table) + f""", bounded AS (
       SELECT *, min(raw_pos) FILTER (WHERE raw_pos >= 100)
                 OVER (PARTITION BY k, line_no) AS last_pos
       FROM words
@@ -292,7 +312,7 @@ def _sql_line_words(key: str = "doc_id", table: str = "documents") -> str:
       SELECT a.word AS x, b.word AS y, count(*) AS n
       FROM line_words a JOIN line_words b
         ON a.k = b.k AND a.line_no = b.line_no AND a.word <> b.word
-      GROUP BY a.word, b.word HAVING count(*) >= 10
+      GROUP BY a.word, b.word HAVING count(*) >= {support}
     ), probabilities AS (
       SELECT x, y, fx.n AS n_x, CAST(fx.n AS FLOAT) / CAST(n_lines AS FLOAT) AS p_x,
              fy.n AS n_y, CAST(fy.n AS FLOAT) / CAST(n_lines AS FLOAT) AS p_y,
@@ -372,6 +392,9 @@ def oracle_sql() -> dict[str, str]:
         "pmi_stripes": f"WITH {_sql_line_words()} {_STRIPES}",
         "pmi_top": f"""WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored
           ORDER BY scored.log10_pmi DESC, x, y LIMIT {TOP_K}""",
+        "pmi_pairs_large_dictionary": f"WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored",
+        "pmi_pairs_frequent_words": f"WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored",
+        "pair_counts_talk": f"WITH {_sql_line_words(*_TALK, support=1)} SELECT x, y, n FROM pairs",
         "pmi_pairs_talk": f"WITH {_sql_line_words(*_TALK)} SELECT {_PMI_COLUMNS} FROM scored",
         "pmi_stripes_talk": f"WITH {_sql_line_words(*_TALK)} {_STRIPES}",
         "bigram_counts": f"""WITH {_sql_bigrams()}
