@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Word sets and dictionaries that nothing refers to any more leave the checkpoint folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
