@@ -16,9 +16,5 @@ SETTINGS = {
 
 def session(name: str = "wordmill", **extra: str) -> SparkSession:
     """A session with those settings; ``extra`` takes dots in names as double underscores."""
-    builder = SparkSession.builder.appName(name)
-    for key, value in SETTINGS.items():
-        builder = builder.config(key, value)
-    for key, value in extra.items():
-        builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    named = {key.replace("__", "."): value for key, value in extra.items()}
+    return SparkSession.builder.appName(name).config(map=SETTINGS | named).getOrCreate()
