@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import quality_rules
+from wordmill.llm import quality_rules, simhash
 from wordmill.sources.checkpoints import materialise
 
 
@@ -12,7 +12,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality rules", quality)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_first(docs)
+
+
+STAGES = [("quality rules", quality), ("near dedup", near_dedup)]
 
 ORACLE_SQL = None
 
