@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A word, and the characters between words.
@@ -23,7 +23,7 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(blanks, " "), "")
 
 
-def documents(spark, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -36,17 +36,17 @@ def numbered(df: DataFrame, keys: list[str], order: list[Column], spread: Column
     the number of rows, which sets the number of buckets. ``spread`` must not depend on where
     Spark happens to run a row.
     """
-    from pyspark.sql import Window
-
     buckets = max(1, -(-rows // ROWS_PER_BUCKET))
     dealt = df.withColumn("__bucket", F.pmod(F.xxhash64(spread), F.lit(buckets)))
     inside = Window.partitionBy(*keys, "__bucket").orderBy(*order)
     local = dealt.withColumn("__inside", F.row_number().over(inside) - 1)
     sizes = dealt.groupBy(*keys, "__bucket").agg(F.count("*").alias("__n"))
-    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # Without keys a constant stands in for one.
+    before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__bucket")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     return (
         local.join(offsets, [*keys, "__bucket"])
-        .withColumn(name, F.col("__before") + F.col("__inside"))
+        .withColumn(name, (F.col("__before") + F.col("__inside")).cast("long"))
         .drop("__bucket", "__inside", "__before")
     )

@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import quality_rules, simhash
+from wordmill.llm import pii, quality_rules, sharding, simhash
 from wordmill.llm.common import documents
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(documents(spark, sf_dir))
 
@@ -20,6 +28,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sharding": op1_sharding,
+        "op3_pii": op3_pii,
         "op7_quality_rules": op7_quality_rules,
         "op9_simhash": op9_simhash,
     }
