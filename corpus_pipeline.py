@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import quality_rules, simhash
+from wordmill.llm import decontamination, mixing, quality_rules, sharding, simhash
+from wordmill.llm.common import benchmark, documents
 from wordmill.sources.checkpoints import materialise
 
 
@@ -16,14 +17,32 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_first(docs)
 
 
-STAGES = [("quality rules", quality), ("near dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.without_items(docs, benchmark(spark, sf_dir))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.shard(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("near dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each written and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,14 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import pii, quality_rules, sharding, simhash
-from wordmill.llm.common import documents
+from wordmill.llm import decontamination, mixing, pii, quality_rules, sharding, simhash
+from wordmill.llm.common import benchmark, documents
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir))
 
@@ -22,6 +26,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(documents(spark, sf_dir))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(documents(spark, sf_dir))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
@@ -29,11 +37,15 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
+        "op2_decontamination": op2_decontamination,
         "op3_pii": op3_pii,
         "op7_quality_rules": op7_quality_rules,
+        "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_mixing": mixing.SQL,
+    }
