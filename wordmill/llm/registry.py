@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import decontamination, mixing, pii, quality_rules, sharding, simhash
+from wordmill.llm import decontamination, mixing, pii, quality_rules, sharding, simhash, substring_dedup
 from wordmill.llm.common import benchmark, documents
 
 
@@ -22,6 +22,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(documents(spark, sf_dir))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sharding": op1_sharding,
         "op2_decontamination": op2_decontamination,
         "op3_pii": op3_pii,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
@@ -47,5 +52,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op6_substring_dedup": substring_dedup.SQL,
         "op8_mixing": mixing.SQL,
     }
