@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import decontamination, mixing, pii, quality_rules, sharding, simhash, substring_dedup
-from wordmill.llm.common import benchmark, documents
+from wordmill.llm import decontamination, mixing, pii, quality_rules, sharding, simhash, substring_dedup, warc
+from wordmill.llm.common import benchmark, documents, pages
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(pages(spark, sf_dir))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(documents(spark, sf_dir))
 
@@ -43,6 +47,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_sharding": op1_sharding,
         "op2_decontamination": op2_decontamination,
         "op3_pii": op3_pii,
+        "op4_warc": op4_warc,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_mixing": op8_mixing,
@@ -52,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_warc": warc.SQL,
         "op6_substring_dedup": substring_dedup.SQL,
         "op8_mixing": mixing.SQL,
     }
