@@ -35,6 +35,10 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/pages.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], spread: Column, rows: int, name: str) -> DataFrame:
     """Number the rows of each key from 0 without a gap, as the new long column ``name``.
 

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import decontamination, mixing, pii, quality_rules, sharding, simhash, substring_dedup, warc
-from wordmill.llm.common import benchmark, documents, pages
+from wordmill.llm import decontamination, mixing, pii, quality_rules, sharding, simhash, substring_dedup, toxicity, warc
+from wordmill.llm.common import benchmark, documents, labels, pages
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_quality_rules": op7_quality_rules,
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
+        "op10_toxicity": op10_toxicity,
     }
 
 
