@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import decontamination, mixing, pii, quality_rules, sharding, simhash, substring_dedup, toxicity, warc
+from wordmill.llm import (
+    decontamination,
+    html_extraction,
+    mixing,
+    pii,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from wordmill.llm.common import benchmark, documents, labels, pages
 
 
@@ -26,6 +37,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(pages(spark, sf_dir))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.main_text(pages(spark, sf_dir))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(documents(spark, sf_dir))
 
@@ -52,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontamination": op2_decontamination,
         "op3_pii": op3_pii,
         "op4_warc": op4_warc,
+        "op5_html_extraction": op5_html_extraction,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op8_mixing": op8_mixing,
