@@ -71,8 +71,8 @@ class _Outbox:
     def __init__(self, key_type):
         self.key_type, self.entries, self.size = key_type, [], 0
 
-    def put(self, kind: int, part: np.ndarray, key: np.ndarray, doc: int):
-        self.entries.append((kind, part, key, doc))
+    def put(self, kind: int, part: np.ndarray, key: np.ndarray, doc: int | np.ndarray):
+        self.entries.append((kind, part, key, np.broadcast_to(np.asarray(doc, np.int64), key.shape)))
         self.size += len(key)
 
     def flush(self) -> pd.DataFrame:
@@ -83,7 +83,7 @@ class _Outbox:
                 continue
             part = np.concatenate([entry[1] for entry in own])
             key = np.concatenate([entry[2] for entry in own])
-            doc = np.repeat(np.array([entry[3] for entry in own], np.int64), [len(entry[2]) for entry in own])
+            doc = np.concatenate([entry[3] for entry in own])
             order = np.lexsort((doc, key, part))
             part, key, doc = part[order], key[order], doc[order]
             same = (part[1:] == part[:-1]) & (key[1:] == key[:-1])
@@ -138,7 +138,7 @@ def _extensions(parts: int):
         if len(words) < WINDOW:
             return
         part, key = _short_keys(words.short(BLOCK), parts)
-        hits = np.frombuffer(b"".join(found), dtype="<u8")
+        hits = np.frombuffer(found, dtype="<u8")
         at = np.flatnonzero(np.isin(part << np.uint64(32) | key, hits))
         around = (at[:, None] - np.arange(WINDOW - BLOCK + 1)).ravel()
         starts = np.unique(around[(around >= 0) & (around <= len(words) - WINDOW)])
@@ -149,64 +149,102 @@ def _extensions(parts: int):
     return lambda pieces: _dealt(pieces, "<u8", entries)
 
 
-def _answer(key_type: str, with_least: bool):
+def _entries(row, key_type: str) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(np.frombuffer(row.docs, dtype="<i8")), np.frombuffer(row.keys, dtype=key_type)
+
+
+def _answer(key_type: str, with_least: bool, parts: int):
     """For sorted rows of one part after another: which entries a smaller document has too.
 
-    Answers are rows of a document and what was found, packed. ``with_least``: the smaller
-    document itself is told as well.
+    Answers are entries again, sent to parts by document. ``with_least``: the smaller document
+    itself is told as well.
     """
 
-    def packed(part, docs, keys):
-        order = np.argsort(docs, kind="stable")
-        docs, keys = docs[order], keys[order].astype("<u8")
-        if key_type == "<u4":
-            keys = keys | np.uint64(part << 32)
-        cuts = np.concatenate([[0], np.flatnonzero(docs[1:] != docs[:-1]) + 1, [len(docs)]])
-        data, size = keys.tobytes(), 8
-        found = [data[a * size : b * size] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
-        return pd.DataFrame({"doc_id": docs[cuts[:-1]], "found": found})
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out = _Outbox("<u8")
         part, blocks, known, least, hit = None, [], None, None, None
 
+        def tell(docs, keys):
+            keys = keys.astype(np.uint64)
+            if key_type == "<u4":
+                keys = keys | np.uint64(part << 32)
+            mixed = docs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            out.put(1, (mixed >> np.uint64(32)) % np.uint64(parts), keys, docs)
+
         def close():
             if with_least and hit is not None and hit.any():
-                yield packed(part, least[hit], known[hit])
+                tell(least[hit], known[hit])
 
         for rows in batches:
             for row in rows.itertuples(index=False):
                 if row.part != part:
-                    yield from close()
+                    close()
                     part, blocks, known, hit = row.part, [], None, None
-                docs = np.cumsum(np.frombuffer(row.docs, dtype="<i8"))
-                keys = np.frombuffer(row.keys, dtype=key_type)
+                docs, keys = _entries(row, key_type)
                 if row.kind == 0:
                     blocks.append((keys, docs))
                     continue
                 if known is None:
                     if not blocks:
                         continue
-                    known, docs0 = (np.concatenate(x) for x in zip(*blocks))
-                    order = np.lexsort((docs0, known))
-                    known, docs0 = known[order], docs0[order]
+                    known, least = (np.concatenate(x) for x in zip(*blocks))
+                    order = np.lexsort((least, known))
+                    known, least = known[order], least[order]
                     first = np.concatenate([[True], known[1:] != known[:-1]])
-                    known, least, blocks = known[first], docs0[first], []
+                    known, least, blocks = known[first], least[first], []
                     hit = np.zeros(len(known), bool)
                 at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                 repeats = (known[at] == keys) & (least[at] < docs)
                 if repeats.any():
                     hit[at[repeats]] = True
-                    yield packed(part, docs[repeats], keys[repeats])
-        yield from close()
+                    tell(docs[repeats], keys[repeats])
+                if out.size >= FLUSH:
+                    yield out.flush()
+        close()
+        if out.size:
+            yield out.flush()
 
     return run
 
 
-def _answered(sent: DataFrame, key_type: str, with_least: bool) -> DataFrame:
+def _by_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per document from sorted rows of entries; a part's documents are in no other part."""
+
+    def gathered(pieces):
+        docs, keys = (np.concatenate(x) for x in zip(*pieces))
+        order = np.lexsort((keys, docs))
+        docs, keys = docs[order], keys[order]
+        new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])])
+        return docs[new], keys[new]
+
+    def packed(pieces):
+        docs, keys = gathered(pieces)
+        cuts = np.concatenate([[0], np.flatnonzero(docs[1:] != docs[:-1]) + 1, [len(docs)]])
+        data = keys.astype("<u8").tobytes()
+        found = [data[8 * a : 8 * b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        return pd.DataFrame({"doc_id": docs[cuts[:-1]], "found": found})
+
+    part, pieces, size = None, [], 0
+    for rows in batches:
+        for row in rows.itertuples(index=False):
+            if row.part != part:
+                if pieces:
+                    yield packed(pieces)
+                part, pieces, size = row.part, [], 0
+            pieces.append(_entries(row, "<u8"))
+            size += len(pieces[-1][0])
+            if size >= FLUSH:  # repeats, as of rows that agree in doc_id, count once
+                pieces = [gathered(pieces)]
+                size = 0
+    if pieces:
+        yield packed(pieces)
+
+
+def _answered(sent: DataFrame, key_type: str, with_least: bool, parts: int) -> DataFrame:
     """``doc_id, found`` with all that was found of a document, kept."""
     dealt = sent.repartition("part").sortWithinPartitions("part", "kind")
-    pieces = dealt.mapInPandas(_answer(key_type, with_least), _FOUND)
-    return materialise(pieces.groupBy("doc_id").agg(F.collect_list("found").alias("found")), "found")
+    told = dealt.mapInPandas(_answer(key_type, with_least, parts), _SENT)
+    return materialise(told.repartition("part").sortWithinPartitions("part").mapInPandas(_by_document, _FOUND), "found")
 
 
 def _without(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
@@ -216,7 +254,7 @@ def _without(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
         n, kept, removed = len(words), words.joined, 0
         if windows is not None and len(windows) and n >= WINDOW:
             full = words.full(WINDOW, np.arange(n - WINDOW + 1))
-            at = np.flatnonzero(np.isin(full[:, 1], np.frombuffer(b"".join(windows), dtype="<u8")))
+            at = np.flatnonzero(np.isin(full[:, 1], np.frombuffer(windows, dtype="<u8")))
             edges = np.zeros(n + 1, np.int64)
             np.add.at(edges, at, 1)
             np.add.at(edges, at + WINDOW, -1)
@@ -249,9 +287,9 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // PART_BYTES))
     named = _texts(docs.where("doc_id IS NOT NULL"))
-    hits = _answered(named.mapInPandas(_blocks_and_probes(parts), _SENT), "<u4", True)
+    hits = _answered(named.mapInPandas(_blocks_and_probes(parts), _SENT), "<u4", True, parts)
     extended = named.join(hits, "doc_id").select("doc_id", "text", "found")
-    return _answered(extended.mapInPandas(_extensions(parts), _SENT), "<u8", False)
+    return _answered(extended.mapInPandas(_extensions(parts), _SENT), "<u8", False, parts)
 
 
 def _over_texts(docs: DataFrame, run, columns: str) -> DataFrame:
