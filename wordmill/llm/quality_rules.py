@@ -38,9 +38,9 @@ class Rule:
     per: str | None = None
     times: int = 1
 
-    def broken(self) -> Column:
-        left = F.col(self.measure) * self.times
-        right = F.lit(self.bound) if self.per is None else F.col(self.per) * self.bound
+    def broken(self, prefix: str = "") -> Column:
+        left = F.col(prefix + self.measure) * self.times
+        right = F.lit(self.bound) if self.per is None else F.col(prefix + self.per) * self.bound
         return left < right if self.op == "<" else left > right
 
 
@@ -61,8 +61,9 @@ _POSITION_BITS = 30
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
-def _triple(w: Column, i: Column) -> Column:
-    return F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+def _bind(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, wherever the optimizer moves it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _like_neighbour(items: Column, same) -> Column:
@@ -74,62 +75,67 @@ def _same_hash(a: Column, b: Column) -> Column:
     return F.shiftrightunsigned(a.bitwiseXOR(b), _POSITION_BITS) == 0
 
 
-def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
-    """``docs`` with its measures as further long columns, their names after ``prefix``.
+def _repeated_words(w: Column) -> Column:
+    """How many words of an array are in windows of three words that occur twice or more.
 
-    Repeated words are those in windows of three words that occur twice or more. Windows are
-    first sorted by a short hash beside their position; only windows that share one are compared
-    as words, so the count is exact and the work per text is that of sorting numbers. Null is
-    the empty text. Lines without a word don't count as lines.
+    Windows are first sorted by a short hash beside their position; only windows that share one
+    are compared as words, so the count is exact and the work per text is that of sorting
+    numbers.
     """
-    t, own = F.coalesce(F.col(text), F.lit("")), lambda name: f"__{name}"
-    w = F.col(own("w"))
-    starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
-    hashed = F.transform(
-        starts,
-        lambda x, i: F.shiftleft(F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)), _POSITION_BITS).bitwiseOR(
-            i.cast("long")
+
+    def hashed(w):
+        starts = F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0)))
+        h = lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))
+        return F.transform(starts, lambda x, i: F.shiftleft(h(x, i), _POSITION_BITS).bitwiseOR(i.cast("long")))
+
+    def alike(hashes):
+        return F.transform(_like_neighbour(hashes, _same_hash), lambda v: v.bitwiseAND(F.lit(_POSITION_MASK)).cast("int"))
+
+    def compared(w, at):
+        words = lambda i: F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2))
+        return F.transform(at, lambda i: F.struct(words(i).alias("g"), i.alias("i")))
+
+    def positions(windows):
+        return F.transform(_like_neighbour(windows, lambda a, b: a["g"] == b["g"]), lambda s: s["i"])
+
+    def covered(at):
+        steps = F.transform(at, lambda i, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - i, F.lit(3))))
+        return F.aggregate(steps, F.lit(0).cast("long"), lambda total, n: total + n)
+
+    return _bind(
+        w,
+        lambda w: _bind(
+            F.sort_array(hashed(w)),
+            lambda hashes: _bind(
+                alike(hashes),
+                lambda at: _bind(
+                    F.sort_array(compared(w, at)),
+                    lambda windows: _bind(F.sort_array(positions(windows)), covered),
+                ),
+            ),
         ),
     )
-    alike = F.transform(
-        _like_neighbour(F.col(own("hashed")), _same_hash),
-        lambda v: v.bitwiseAND(F.lit(_POSITION_MASK)).cast("int"),
-    )
-    compared = F.sort_array(F.transform(F.col(own("alike")), lambda i: F.struct(_triple(w, i).alias("g"), i.alias("i"))))
-    positions = F.sort_array(F.transform(_like_neighbour(F.col(own("compared")), lambda a, b: a["g"] == b["g"]), lambda s: s["i"]))
-    at = F.col(own("at"))
-    covered = F.aggregate(
-        F.transform(at, lambda i, k: F.least(F.lit(3), F.coalesce(F.get(at, k + 1) - i, F.lit(3)))),
-        F.lit(0).cast("long"),
-        lambda total, n: total + n,
-    )
-    lines = F.filter(F.split(t, "\n"), lambda line: line.rlike(WORD))
-    stop = F.filter(w, lambda x: x.isin(STOP_WORDS))
+
+
+def measured(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with its measures as further long columns, their names after ``prefix``.
+
+    Null is the empty text. Lines without a word don't count as lines.
+    """
+    t = F.coalesce(F.col(text), F.lit(""))
+    w, lines = F.col("__quality_w"), F.col("__quality_lines")
     out = {
         "n_words": F.size(w),
         "word_chars": F.length(F.array_join(w, "")),
         "n_symbols": F.length(t) - F.length(F.regexp_replace(t, f"[{SYMBOLS}]", "")),
-        "n_dup_lines": F.size(own("lines")) - F.size(F.array_distinct(own("lines"))),
-        "n_repeat_words": covered,
-        "n_lines": F.size(own("lines")),
-        "n_stop_words": F.size(stop),
+        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_repeat_words": _repeated_words(w),
+        "n_lines": F.size(lines),
+        "n_stop_words": F.size(F.filter(w, lambda x: x.isin(STOP_WORDS))),
     }
-    names = docs.columns
-    step = docs.select("*", words(F.col(text)).alias(own("w")), lines.alias(own("lines")))
-    for name, value in (("hashed", F.sort_array(hashed)), ("alike", alike), ("compared", compared), ("at", positions)):
-        step = step.withColumn(own(name), value)
-    return step.select(*names, *[value.cast("long").alias(prefix + name) for name, value in out.items()])
-
-
-def any_broken(rules: tuple[Rule, ...], measures: dict[str, Column]) -> Column:
-    """Whether one of the rules is broken, as one expression."""
-    struct = F.struct(*[value.alias(name) for name, value in measures.items()])
-    broken = F.lit(False)
-    for rule in rules:
-        left = struct[rule.measure] * rule.times
-        right = F.lit(rule.bound) if rule.per is None else struct[rule.per] * rule.bound
-        broken = broken | (left < right if rule.op == "<" else left > right)
-    return broken
+    with_words = F.filter(F.split(t, "\n"), lambda line: line.rlike(WORD))
+    step = docs.select("*", words(F.col(text)).alias("__quality_w"), with_words.alias("__quality_lines"))
+    return step.select(*docs.columns, *[value.cast("long").alias(prefix + name) for name, value in out.items()])
 
 
 def quality(docs: DataFrame) -> DataFrame:
@@ -153,7 +159,10 @@ def quality(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` no rule rejects, with all their columns as they were."""
     own = "__quality_"
-    m = measured(docs, prefix=own)
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words"]
-    measures = {name: F.col(own + name) for name in names}
-    return m.where(~any_broken(BASE_RULES + RULES, measures)).select(*docs.columns)
+    broken = F.lit(False)
+    for rule in BASE_RULES + RULES:
+        broken = broken | rule.broken(own)
+    # The row number keeps the filter above the measures. Pushed below them it would work out
+    # every measure again for every rule, and a text's words again for every word.
+    m = measured(docs, prefix=own).select("*", F.monotonically_increasing_id().alias(own + "row"))
+    return m.where(~broken & (F.col(own + "row") >= 0)).select(*docs.columns)
