@@ -59,13 +59,15 @@ def propagate(state: DataFrame, capacities: list[int], rounds: int = ROUNDS) ->
     The least of ``rounds`` and as many as change something.
     """
     full: set[int] = set()
-    for _ in range(rounds):
+    still = 0
+    for number in range(rounds):
         votes = materialise(state.groupBy("group", "shard").agg(F.count("*").alias("n")), "votes")
         held = _counts(votes, "shard", weight="n")
         room = [capacity - held.get((shard,), 0) for shard, capacity in enumerate(capacities)]
-        # Ties go by a hash, so that no shard draws all small groups, and away from full shards.
+        # Ties go by a hash of the round, so that no shard draws all small groups and those that
+        # were not let through one way try the other, and they go away from full shards.
         closed = F.col("shard").isin(list(full)) if full else F.lit(False)
-        rank = F.struct("n", F.when(~closed, F.xxhash64("group", "shard")).alias("tie"), "shard")
+        rank = F.struct("n", F.when(~closed, F.xxhash64("group", "shard", F.lit(number))).alias("tie"), "shard")
         open_shards = votes.where(~closed)
         best = open_shards.groupBy("group").agg(F.max(rank).alias("best"))
         moves = materialise(
@@ -81,15 +83,16 @@ def propagate(state: DataFrame, capacities: list[int], rounds: int = ROUNDS) ->
             if quotas != wanted:
                 rows = sum(wanted.values())
                 aimed = materialise(aimed, "aimed")
-                still, going = aimed.where("target IS NULL"), aimed.where("target IS NOT NULL")
+                staying, going = aimed.where("target IS NULL"), aimed.where("target IS NOT NULL")
                 going = numbered(going, ["shard", "target"], [F.col("uid")], F.col("uid"), rows, "no")
                 let = F.when(F.col("no") < _by_shards(quotas, 0), F.col("target"))
-                aimed = going.withColumn("target", let).drop("no").unionByName(still)
+                aimed = going.withColumn("target", let).drop("no").unionByName(staying)
             state = materialise(aimed.select("uid", "group", F.coalesce("target", "shard").alias("shard")), "state")
         drawn = {j for (_, j), n in quotas.items() if n}
         newly_full = {j for (_, j) in wanted if room[j] <= 0 and j not in drawn} - full
         full |= newly_full
-        if not newly_full and not any(quotas.values()):
+        still = 0 if newly_full or any(quotas.values()) else still + 1
+        if not wanted or still == 2:
             break
     return state
 
