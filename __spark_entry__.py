@@ -5,10 +5,9 @@ Single-precision results are published as the double with the same value.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 import wordmill as W
@@ -17,10 +16,19 @@ from wordmill.functions.scores import VECTOR
 from wordmill.operators.cooccurrence import count_cooccurrence
 from wordmill.plans.pmi import pairs_from_counts
 from wordmill.sources import articles, intermediate, sinks
-from wordmill.sources.checkpoints import shared_folder
+from wordmill.sources.checkpoints import kept_path
 from wordmill.sources.text import read_lines, read_table_lines, read_texts
 
+try:
+    import corpus_pipeline
+    from wordmill.llm import registry as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "wordmill.llm"):
+        raise
+    corpus_pipeline = llm = None
+
 TOP_K = 100
+BUCKETS = 8
 
 
 def _documents(sf_dir: str) -> str:
@@ -55,10 +63,6 @@ def _entries(stripes: DataFrame, word: str, partner: str, value: str) -> DataFra
     return _widen(stripes.select(word, "part", F.explode_outer("stripe").alias(partner, value)))
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 # Corpus and words
 
 
@@ -89,7 +93,7 @@ def word_count_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _scratch(spark, "corpus")
+    path = kept_path(spark, "corpus")
     texts = read_texts(spark, _documents(sf_dir), "text")
     sinks.write_text(texts.withColumnRenamed("text", "value"), path)
     return read_lines(spark, path)
@@ -123,7 +127,7 @@ def pmi_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pmi_pairs_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _scratch(spark, "counts")
+    path = kept_path(spark, "counts")
     intermediate.write_counts(count_cooccurrence(_lines(spark, sf_dir)), path)
     return _widen(pairs_from_counts(intermediate.read_counts(spark, path)))
 
@@ -136,6 +140,30 @@ def pmi_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entries(W.pmi_stripes(_lines(spark, sf_dir)), "word", "partner", "log10_pmi")
 
 
+def pmi_stripes_8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _entries(W.pmi_stripes(_lines(spark, sf_dir), buckets=BUCKETS), "word", "partner", "log10_pmi")
+
+
+def line_frequency_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.line_frequency(_lines(spark, sf_dir), max_tokens=None)
+
+
+def pair_counts_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of whole lines, without the cap on tokens."""
+    return W.pair_counts(_lines(spark, sf_dir), max_tokens=None)
+
+
+def pmi_pairs_large_frequent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No broadcast, and words on more than 500 lines counted in the map tasks."""
+    counts = count_cooccurrence(_lines(spark, sf_dir), broadcast_bytes=0, frequent_lines=500)
+    return _widen(pairs_from_counts(counts))
+
+
+def pmi_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full ranking."""
+    return _widen(W.pmi_ranked(W.pmi_pairs(_lines(spark, sf_dir))))
+
+
 def pmi_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _widen(W.pmi_top(W.pmi_pairs(_lines(spark, sf_dir)), TOP_K))
 
@@ -188,6 +216,39 @@ def bigram_relfreq_stripes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entries(W.bigram_relfreq_stripes(_lines(spark, sf_dir)), "w1", "w2", "rf")
 
 
+def bigram_relfreq_stripes_8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _entries(W.bigram_relfreq_stripes(_lines(spark, sf_dir), buckets=BUCKETS), "w1", "w2", "rf")
+
+
+def bigram_counts_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and counts of bigrams as text."""
+    return sinks.render_bigram_counts(W.bigram_counts(_lines(spark, sf_dir)))
+
+
+def bigram_stripes_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps written as text; read back, as the order within a map is free."""
+    path = kept_path(spark, "stripes")
+    sinks.write_text(sinks.render_stripes(W.bigram_relfreq_stripes(_lines(spark, sf_dir)), "w1"), path)
+    parts = F.split(F.col("value"), "\t", 2)
+    stripe = F.from_json(parts[1], "map<string,float>")
+    read = spark.read.text(path).select(parts[0].alias("w1"), F.explode(stripe).alias("w2", "rf"))
+    return _widen(read)
+
+
+def sorted_counts_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts written in key order to four files, over an earlier output, and read back.
+
+    ``after`` is whether a line is not before the one above it in its file.
+    """
+    path = kept_path(spark, "sorted")
+    counts = sinks.render_counts(word_count(spark, sf_dir))
+    sinks.write_text(counts.limit(10), path)
+    sinks.write_text(counts, path, num_partitions=4, sort=True)
+    lines = read_lines(spark, path).select("value", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
+    above = F.lag("value").over(Window.partitionBy("file").orderBy("at"))
+    return lines.select("value", F.coalesce(F.col("value") >= above, F.lit(True)).alias("after"))
+
+
 def bigram_relfreq_pairs_talk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _widen(W.bigram_relfreq_pairs(_talk(spark, sf_dir)))
 
@@ -210,9 +271,23 @@ def articles_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles.assemble_articles(dump)
 
 
+def articles_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles of a malformed dump, one file per document.
+
+    A stray end tag comes first; a start tag shares its line with an end tag; the text is closed
+    twice, with a line in between; a last article is never closed.
+    """
+    texts = read_texts(spark, _documents(sf_dir), "text", keep=["doc_id"]).where("text IS NOT NULL")
+    head, tail = ["stray", "</doc>", "lost", "<doc></doc>"], ["</doc>", "again", "</doc>", "<doc>", "open"]
+    lines = F.concat(F.array(*map(F.lit, head)), T.lines_of(F.col("text")), F.array(*map(F.lit, tail)))
+    dump = texts.select(F.col("doc_id").cast("string").alias("file"), F.posexplode(lines).alias("pos", "value"))
+    dump = dump.select("file", F.floor(F.col("pos") / 7).alias("block"), "pos", "value")
+    return articles.assemble_articles(dump)
+
+
 def _dump_files(spark: SparkSession, sf_dir: str) -> str:
-    path = _scratch(spark, "dump")
-    texts = read_texts(spark, _documents(sf_dir), "text", keep=["doc_id"])
+    path = kept_path(spark, "dump")
+    texts = read_texts(spark, _documents(sf_dir), "text", keep=["doc_id"]).where("text IS NOT NULL")
     dump = texts.select(F.format_string('<doc id="%d">\n%s\n</doc>', "doc_id", "text").alias("value"))
     sinks.write_text(dump, path)
     return path
@@ -233,6 +308,13 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    own = _queries()
+    if llm is not None:
+        own |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return own
+
+
+def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "lines": lines,
         "words": words,
@@ -262,6 +344,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bigram_relfreq_pairs_talk": bigram_relfreq_pairs_talk,
         "articles_table": articles_table,
         "articles_files": articles_files,
+        "pmi_stripes_8": pmi_stripes_8,
+        "line_frequency_whole": line_frequency_whole,
+        "pair_counts_whole": pair_counts_whole,
+        "pmi_pairs_large_frequent": pmi_pairs_large_frequent,
+        "pmi_ranked": pmi_ranked,
+        "bigram_relfreq_stripes_8": bigram_relfreq_stripes_8,
+        "bigram_counts_text": bigram_counts_text,
+        "bigram_stripes_text": bigram_stripes_text,
+        "sorted_counts_files": sorted_counts_files,
+        "articles_malformed": articles_malformed,
         "articles_well_formed": articles_well_formed,
     }
 
@@ -288,7 +380,7 @@ def _sql_words(key: str = "doc_id", table: str = "documents") -> str:
       SELECT k, line_no, unnest(range(len(p))) AS i, unnest(p) AS t FROM split
     ), raw AS (
       SELECT k, line_no, row_number() OVER (PARTITION BY k, line_no ORDER BY i) AS raw_pos,
-             regexp_replace(lower(t), '(^[^a-z]+|[^a-z]+$)', '', 'g') AS word
+             regexp_extract(lower(t), '[a-z]([^ \t\n\r\f]*[a-z])?') AS word
       FROM pieces_of_line WHERE t <> ''
     ), words AS (
       SELECT k, line_no, row_number() OVER (PARTITION BY k, line_no ORDER BY raw_pos) - 1 AS pos,
@@ -297,13 +389,14 @@ def _sql_words(key: str = "doc_id", table: str = "documents") -> str:
     )"""
 
 
-def _sql_line_words(key: str = "doc_id", table: str = "documents", support: int = 10) -> str:
+def _sql_line_words(key: str = "doc_id", table: str = "documents", support: int = 10, cap: int | None = 100) -> str:
+    counted = "true" if cap is None else f"raw_pos < {cap} OR raw_pos = last_pos"
     return _sql_words(key, table) + f""", bounded AS (
-      SELECT *, min(raw_pos) FILTER (WHERE raw_pos >= 100)
+      SELECT *, min(raw_pos) FILTER (WHERE raw_pos >= {cap or 0})
                 OVER (PARTITION BY k, line_no) AS last_pos
       FROM words
     ), line_words AS (
-      SELECT DISTINCT k, line_no, word FROM bounded WHERE raw_pos < 100 OR raw_pos = last_pos
+      SELECT DISTINCT k, line_no, word FROM bounded WHERE {counted}
     ), frequency AS (
       SELECT word, count(*) AS n FROM line_words GROUP BY word
     ), total AS (
@@ -340,12 +433,23 @@ _PMI_COLUMNS = """x, y, n_x, CAST(p_x AS DOUBLE) AS p_x, n_y, CAST(p_y AS DOUBLE
       n_xy, CAST(p_xy AS DOUBLE) AS p_xy, CAST(pmi AS DOUBLE) AS pmi,
       CAST(log10_pmi AS DOUBLE) AS log10_pmi"""
 
-_STRIPES = """
-    SELECT word, 0 AS part, y AS partner, CAST(log10_pmi AS DOUBLE) AS log10_pmi
-    FROM (SELECT DISTINCT word FROM line_words
-          JOIN (SELECT k, line_no FROM line_words GROUP BY k, line_no HAVING count(*) > 1)
-          USING (k, line_no))
-    LEFT JOIN scored ON word = x"""
+
+def _sql_part(partner: str, buckets: int) -> str:
+    return f"CAST(CAST('0x' || substr(md5({partner}), 1, 8) AS BIGINT) % {buckets} AS INTEGER)"
+
+
+def _sql_stripes(buckets: int) -> str:
+    return f"""
+    , parts AS (
+      SELECT x, {_sql_part("y", buckets)} AS part, y, CAST(log10_pmi AS DOUBLE) AS log10_pmi FROM scored
+    ), company AS (
+      SELECT DISTINCT word FROM line_words
+      JOIN (SELECT k, line_no FROM line_words GROUP BY k, line_no HAVING count(*) > 1) USING (k, line_no)
+    )
+    SELECT word, CAST(0 AS INTEGER) AS part, y AS partner, log10_pmi
+    FROM company LEFT JOIN (SELECT * FROM parts WHERE part = 0) ON word = x
+    UNION ALL SELECT x, part, y, log10_pmi FROM parts WHERE part > 0"""
+
 
 _SHARES = "SELECT w1, w2, CAST(rf AS DOUBLE) AS rf FROM shares"
 
@@ -363,6 +467,15 @@ def _sql_number(name: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    own = _oracle_sql()
+    if llm is not None:
+        own |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            own["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return own
+
+
+def _oracle_sql() -> dict[str, str]:
     vector = " || ', ' || ".join(_sql_number(name) for name in VECTOR)
     per_language = """
       SELECT lang AS file,
@@ -370,7 +483,8 @@ def oracle_sql() -> dict[str, str]:
              coalesce((SELECT string_agg(value || ' ', '' ORDER BY line_no)
                        FROM lines WHERE k = doc_id), '') AS article
       FROM documents WHERE text IS NOT NULL"""
-    flattened = "SELECT replace(text, chr(10), ' ') || ' ' AS article FROM documents"
+    flattened = "SELECT replace(text, chr(10), ' ') || ' ' AS article FROM documents WHERE text IS NOT NULL"
+    closed = """coalesce((SELECT string_agg(value || ' ', '' ORDER BY line_no) FROM lines WHERE k = doc_id), '')"""
     return {
         "lines": f"WITH {_sql_lines('doc_id', 'documents')} SELECT k AS doc_id, line_no, value FROM lines",
         "words": f"WITH {_sql_words()} SELECT k AS doc_id, line_no, pos, word FROM words",
@@ -389,14 +503,14 @@ def oracle_sql() -> dict[str, str]:
         "pmi_pairs_files": f"WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored",
         "pmi_pairs_text": f"""WITH {_sql_line_words()}
           SELECT '(' || x || ', ' || y || ')' || chr(9) || {vector} AS value FROM scored""",
-        "pmi_stripes": f"WITH {_sql_line_words()} {_STRIPES}",
+        "pmi_stripes": f"WITH {_sql_line_words()} {_sql_stripes(1)}",
         "pmi_top": f"""WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored
           ORDER BY scored.log10_pmi DESC, x, y LIMIT {TOP_K}""",
         "pmi_pairs_large_dictionary": f"WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored",
         "pmi_pairs_frequent_words": f"WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored",
         "pair_counts_talk": f"WITH {_sql_line_words(*_TALK, support=1)} SELECT x, y, n FROM pairs",
         "pmi_pairs_talk": f"WITH {_sql_line_words(*_TALK)} SELECT {_PMI_COLUMNS} FROM scored",
-        "pmi_stripes_talk": f"WITH {_sql_line_words(*_TALK)} {_STRIPES}",
+        "pmi_stripes_talk": f"WITH {_sql_line_words(*_TALK)} {_sql_stripes(1)}",
         "bigram_counts": f"""WITH {_sql_bigrams()}
           SELECT w1, w2, count(*) AS n FROM bigrams GROUP BY w1, w2""",
         "bigram_marginals": f"WITH {_sql_bigrams()} SELECT w1, count(*) AS n FROM bigrams GROUP BY w1",
@@ -408,5 +522,23 @@ def oracle_sql() -> dict[str, str]:
         "bigram_relfreq_pairs_talk": f"WITH {_sql_bigrams(*_TALK)} {_SHARES}",
         "articles_table": f"WITH {_sql_lines('doc_id', 'documents')} {per_language}",
         "articles_files": flattened,
+        "pmi_stripes_8": f"WITH {_sql_line_words()} {_sql_stripes(BUCKETS)}",
+        "line_frequency_whole": f"WITH {_sql_line_words(cap=None)} SELECT word, n FROM frequency",
+        "pair_counts_whole": f"WITH {_sql_line_words(cap=None)} SELECT x, y, n FROM pairs",
+        "pmi_pairs_large_frequent": f"WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored",
+        "pmi_ranked": f"WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored",
+        "bigram_relfreq_stripes_8": f"""WITH {_sql_bigrams()}
+          SELECT w1, {_sql_part("w2", BUCKETS)} AS part, w2, CAST(rf AS DOUBLE) AS rf FROM shares""",
+        "bigram_counts_text": f"""WITH {_sql_bigrams()}
+          SELECT '(' || w1 || ', ' || w2 || ')' || chr(9) || count(*) AS value FROM bigrams GROUP BY w1, w2""",
+        "bigram_stripes_text": f"WITH {_sql_bigrams()} {_SHARES}",
+        "sorted_counts_files": f"""WITH {_sql_words()}
+          SELECT word || chr(9) || n AS value, true AS after FROM ({_WORD_COUNT})""",
+        "articles_malformed": f"""WITH {_sql_lines('doc_id', 'documents')}, texts AS (
+            SELECT CAST(doc_id AS VARCHAR) AS file, {closed} AS article FROM documents WHERE text IS NOT NULL
+          )
+          SELECT file, CAST(1 AS BIGINT) AS article_no, 'stray ' AS article FROM texts
+          UNION ALL SELECT file, 2, article FROM texts
+          UNION ALL SELECT file, 3, article || 'again ' FROM texts""",
         "articles_well_formed": flattened,
     }

@@ -13,7 +13,9 @@ def raw_tokens(line):
 
 
 def clean(token):
-    return re.sub(r"^[^a-z]+|[^a-z]+\Z", "", token.lower())
+    """From the first letter to the last one, lower case."""
+    letters = re.search("[a-z](?:.*[a-z])?", token.lower(), re.S)
+    return letters[0] if letters else ""
 
 
 def words(line):
@@ -21,14 +23,11 @@ def words(line):
 
 
 def line_set(line, cap=100):
-    kept = set()
-    for position, token in enumerate(raw_tokens(line), 1):
-        word = clean(token)
-        if word:
-            kept.add(word)
-            if position >= cap:
-                return kept
-    return kept
+    """The words among the first ``cap - 1`` tokens, and the first word from there on."""
+    cleaned = [clean(token) for token in raw_tokens(line)]
+    if cap is None:
+        return set(filter(None, cleaned))
+    return set(filter(None, cleaned[: cap - 1])) | set(list(filter(None, cleaned[cap - 1 :]))[:1])
 
 
 def pmi_rows(lines, support=10, cap=100):
@@ -56,15 +55,12 @@ def bigram_rows(lines):
 
 
 def articles(lines):
-    found, buffer = [], ""
-    for line in lines:
-        if re.search(r"<doc[^>]*>", line):
-            buffer = ""
-        elif "</doc>" in line:
-            found.append(buffer)
-        else:
-            buffer += line + " "
-    return found
+    """For each end tag the plain lines after the last start tag before it."""
+    starts = [k for k, line in enumerate(lines) if re.search(r"<doc[^>]*>", line)]
+    ends = [k for k, line in enumerate(lines) if "</doc>" in line and k not in starts]
+    tags = {*starts, *ends}
+    opened = [max((s for s in starts if s < end), default=-1) for end in ends]
+    return ["".join(lines[k] + " " for k in range(s + 1, e) if k not in tags) for s, e in zip(opened, ends)]
 
 
 def stripes(rows, company):

@@ -2,39 +2,30 @@ from types import SimpleNamespace
 
 import pytest
 
-from wordmill.sources.checkpoints import materialise, shared_folder
+from wordmill.sources.checkpoints import kept_path, materialise, release, shared_folder
 
 
-class Context:
-    def __init__(self, master, folder=None):
-        self.master, self.folder = master, folder
-
-    def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = folder
-
-
-def fake_session(master, named=None, folder=None):
+def fake_session(named=None, folder=None):
     conf = SimpleNamespace(get=lambda key, default: named)
-    return SimpleNamespace(conf=conf, sparkContext=Context(master, folder))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getCheckpointDir=lambda: folder))
 
 
 def test_the_folder_the_session_names_is_used():
-    session = fake_session("spark://cluster:7077", named="hdfs:///checkpoints")
-    assert shared_folder(session) == "hdfs:///checkpoints"
-    assert session.sparkContext.folder == "hdfs:///checkpoints"
-    assert shared_folder(fake_session("yarn", folder="hdfs:///set")) == "hdfs:///set"
+    assert shared_folder(fake_session(named="hdfs:///checkpoints/")) == "hdfs:///checkpoints"
+    assert shared_folder(fake_session(folder="hdfs:///set")) == "hdfs:///set"
 
 
-def test_only_a_local_session_gets_a_temporary_folder():
-    assert "wordmill-" in shared_folder(fake_session("local[2]"))
+def test_a_session_without_a_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(fake_session("spark://cluster:7077"))
+        shared_folder(fake_session())
 
 
-def test_kept_results_forget_how_they_were_made(spark):
+def test_kept_results_forget_how_they_were_made_until_released(spark):
     kept = materialise(spark.range(10).selectExpr("id * 2 AS twice"))
     assert kept.agg({"twice": "sum"}).first()[0] == 90
     assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
+    path = kept_path(spark, "left")
+    spark.range(1).write.parquet(path)
+    release(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

@@ -91,3 +91,35 @@ def test_no_python_and_no_products(spark, corpus):
 def test_top_k_does_not_sort_everything(corpus):
     text = plan(W.pmi_top(W.pmi_pairs(corpus(random_lines())), 5))
     assert "TakeOrderedAndProject(limit=5" in text
+
+
+def tasks_with_rows(df):
+    """Rows of each partition that has any."""
+    sizes = df.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    return sorted(row["count"] for row in sizes if row["count"])
+
+
+def test_a_dominating_first_word_is_shared_by_tasks(spark, corpus):
+    lines = corpus([f"hub {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(3000)])
+    settings = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        shares = W.bigram_relfreq_pairs(lines)
+        assert "hashpartitioning(w1" in plan(shares) and "part" in plan(shares)
+        sizes = tasks_with_rows(shares)
+        assert len(sizes) > 4 and max(sizes) < 1500
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_support_prunes_pairs_whatever_the_size_of_the_dictionary(corpus):
+    lines = corpus(random_lines())
+    small = count_cooccurrence(lines, 5)
+    large = count_cooccurrence(lines, 5, broadcast_bytes=0)
+    assert "BroadcastHashJoin" in plan(small.pairs)
+    assert sorted(map(tuple, small.pairs.collect())) == sorted(map(tuple, large.pairs.collect()))
+    frequent = count_cooccurrence(lines, 5, broadcast_bytes=0, frequent_lines=20)
+    assert sorted(map(tuple, frequent.pairs.collect())) == sorted(map(tuple, small.pairs.collect()))

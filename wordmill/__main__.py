@@ -12,10 +12,14 @@ from wordmill.sources import articles, sinks
 from wordmill.sources.text import read_lines
 
 
-def run(spark: SparkSession, job: str, source: str) -> DataFrame:
-    """The rendered result of a job on the text files at ``source``."""
+def run(spark: SparkSession, job: str, source: str, sort: bool = False) -> DataFrame:
+    """The rendered result of a job on the text files at ``source``.
+
+    ``sort`` puts articles in the order of their files; other jobs are sorted when written.
+    """
     if job == "articles":
-        return articles.read_articles(spark, source).select("article")
+        found = articles.read_articles(spark, source)
+        return found.orderBy("file", "article_no").select("article") if sort else found.select("article")
     lines = read_lines(spark, source)
     if job == "word-count":
         return sinks.render_counts(W.word_count(lines))
@@ -48,12 +52,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True, help="output path, overwritten")
     parser.add_argument("--reducers", type=int, help="number of part files at most")
     parser.add_argument("--sort", action="store_true", help="write rows in key order")
-    parser.add_argument(
-        "--imc", action="store_true", help="accepted; map tasks always combine before the shuffle"
-    )
     args = parser.parse_args(argv)
-    rendered = run(session(), args.job, args.input)
-    if args.job == "pmi-ranked":  # already in rank order
+    if args.job == "pmi-ranked" and (args.reducers or args.sort):
+        parser.error("pmi-ranked is written in rank order; it takes neither --reducers nor --sort")
+    rendered = run(session(), args.job, args.input, args.sort)
+    if args.job == "pmi-ranked" or (args.job == "articles" and args.sort):  # already in order
         rendered.write.mode("overwrite").text(args.output)
     else:
         sinks.write_text(rendered, args.output, args.reducers, args.sort)

@@ -24,19 +24,24 @@ def words(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(_WORD), F.lit(0))
 
 
-def capped(line: Column, max_tokens: int = MAX_TOKENS) -> Column:
-    """The lower-cased start of a line that counts towards co-occurrence.
+def capped(line: Column, max_tokens: int | None = MAX_TOKENS) -> Column:
+    """The lower-cased start of a line that counts towards co-occurrence; all of it with ``None``.
 
     It holds the first ``max_tokens - 1`` raw tokens, then any tokens without a letter, then
     one more token. Possessive quantifiers keep the matcher from backtracking or recursing.
     """
+    if max_tokens is None:
+        return F.lower(line)
     gap, raw, junk = f"[{DELIMITERS}]", f"[^{DELIMITERS}]", f"[^a-z{DELIMITERS}]"
     start = rf"^{gap}*+(?:{raw}++{gap}++){{0,{max_tokens - 1}}}+(?:{junk}++{gap}++)*+{raw}*+"
     return F.regexp_extract(F.lower(line), start, 0)
 
 
-def distinct_words(line: Column, max_tokens: int = MAX_TOKENS) -> Column:
-    """The set of words a line contributes to line frequencies and co-occurrence."""
+def distinct_words(line: Column, max_tokens: int | None = MAX_TOKENS) -> Column:
+    """The set of words a line contributes to line frequencies and co-occurrence.
+
+    Only the first ``max_tokens`` tokens of a line count; ``None`` counts whole lines.
+    """
     return F.array_distinct(F.regexp_extract_all(capped(line, max_tokens), F.lit(_WORD), F.lit(0)))
 
 

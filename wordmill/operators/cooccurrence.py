@@ -4,7 +4,7 @@ Pairs are what costs: a corpus has many more of them than it has words. They are
 
 * counting copies of a word set once, weighted;
 * dropping words without the support a pair needs before pairs are made, and writing words as
-  numbers, both as long as the dictionary is small enough to broadcast;
+  numbers, by a broadcast dictionary if it is small and by a shuffled join if it is not;
 * making each pair once, under the rarer of its two words, and shuffling one row per word and
   line with all its partners instead of one row per pair. The rarer word of a pair is never a
   very frequent one unless both are, so no word gathers a large share of the rows;
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions import text as T
@@ -26,11 +26,8 @@ from wordmill.sources.checkpoints import materialise
 BROADCAST_BYTES = 64 << 20
 ENTRY_BYTES = 64
 
-# A word is very frequent if it is in more lines than both of these allow: a number of lines
-# that one task gathers easily, and a share of the corpus. At most ``max_tokens`` / share words
-# can be so frequent, whatever the size of the corpus.
+# A word is very frequent if it is in more lines than one task gathers easily.
 FREQUENT_LINES = 200_000
-FREQUENT_SHARE = 1e-5
 
 
 @dataclass(frozen=True)
@@ -40,14 +37,12 @@ class Counts:
     ``words``: ``word, n, paired`` - lines holding the word, and whether it ever had company;
     the row whose word is null counts the lines themselves.
     ``pairs``: ``x, y, n_xy, n_x, n_y`` - every pair with enough support, one way round.
-    ``vocabulary``: number of words with enough support.
     """
 
     words: DataFrame
     pairs: DataFrame
-    vocabulary: int
     min_support: int = T.MIN_SUPPORT
-    max_tokens: int = T.MAX_TOKENS
+    max_tokens: int | None = T.MAX_TOKENS
 
     def total(self) -> DataFrame:
         return self.words.where(F.col("word").isNull()).select(F.col("n").alias("n_lines"))
@@ -64,7 +59,7 @@ def supported_words(words: DataFrame, min_support: int) -> DataFrame:
     return words.where(is_supported(min_support)).select("word", "n")
 
 
-def word_sets(lines: DataFrame, max_tokens: int) -> DataFrame:
+def word_sets(lines: DataFrame, max_tokens: int | None) -> DataFrame:
     """The distinct word sets of the lines and how many lines have each: ``bag, copies``.
 
     A bag is the sorted set joined by blanks. Copies of a line are counted in the map task, so
@@ -88,12 +83,11 @@ def dictionary(bags: DataFrame) -> DataFrame:
 
 
 def numbered(words: DataFrame) -> DataFrame:
-    """``word, n, id`` numbered from the rarest word up; computing it again gives the same.
+    """``word, n, id`` with larger numbers for more frequent words, kept.
 
-    One task sorts the words, so the table has to be one of checked size.
+    The words are sorted by many tasks; numbers grow within a task's rows and from task to task.
     """
-    order = Window.orderBy("n", "word")
-    return words.select("word", "n", (F.row_number().over(order) - 1).alias("id"))
+    return materialise(words.select("word", "n").orderBy("n", "word").withColumn("id", F.monotonically_increasing_id()), "numbers")
 
 
 def _tokens(bags: DataFrame) -> DataFrame:
@@ -107,11 +101,11 @@ def numbered_sets(bags: DataFrame, numbers: DataFrame, limit: int) -> DataFrame:
     """Word sets as sorted numbers, without the words that have none: ``copies, words, rarer``.
 
     ``rarer`` is how many of the words, at the front, are in at most ``limit`` lines. A set is
-    put back together in the task that took it apart; what is shuffled is its numbers.
+    put back together from the numbers of its words.
     """
     return (
         _tokens(bags)
-        .join(F.broadcast(numbers), "word")
+        .join(numbers, "word")
         .groupBy("bag_id", "copies")
         .agg(
             F.sort_array(F.collect_list("id")).alias("words"),
@@ -121,28 +115,6 @@ def numbered_sets(bags: DataFrame, numbers: DataFrame, limit: int) -> DataFrame:
     )
 
 
-def ordered_sets(bags: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The same with the words themselves, where only the very frequent ones are numbered.
-
-    The others come first, in alphabetical order.
-    """
-    ranked = F.struct(F.coalesce("id", F.lit(-1)).alias("id"), "word")
-    return (
-        _tokens(bags)
-        .join(F.broadcast(frequent.select("word", "id")), "word", "left")
-        .groupBy("bag_id", "copies")
-        .agg(
-            F.sort_array(F.collect_list(ranked)).alias("ranked"),
-            F.count_if(F.col("id").isNull()).alias("rarer"),
-        )
-        .select("copies", F.col("ranked.word").alias("words"), "rarer")
-    )
-
-
-def plain_sets(bags: DataFrame, rarer: int) -> DataFrame:
-    return bags.select("copies", F.split("bag", " ").alias("words"), F.lit(rarer).alias("rarer"))
-
-
 def _partners(sets: DataFrame) -> DataFrame:
     """Each word of a sorted set with those after it: ``x, copies, rare, partners``."""
     words = F.col("words")
@@ -186,67 +158,45 @@ def count_sets(sets: DataFrame, any_frequent: bool) -> DataFrame:
     return rare.unionByName(count_in_map_tasks(partners.where(~F.col("rare"))))
 
 
-def with_words(counts: DataFrame, numbers: DataFrame) -> DataFrame:
-    """Numbers back to words, and how many lines have each."""
-    x = numbers.select(F.col("id").alias("x_id"), F.col("word").alias("x"), F.col("n").alias("n_x"))
-    y = numbers.select(F.col("id").alias("y_id"), F.col("word").alias("y"), F.col("n").alias("n_y"))
-    return (
-        counts.withColumnsRenamed({"x": "x_id", "y": "y_id"})
-        .join(F.broadcast(x), "x_id")
-        .join(F.broadcast(y), "y_id")
-        .select(*PAIR_COLUMNS)
-    )
-
+def with_words(counts: DataFrame, numbers: DataFrame, small: bool) -> DataFrame:
+    """Numbers back to words, and how many lines have each.
 
-def with_frequencies(counts: DataFrame, words: DataFrame) -> DataFrame:
-    """How many lines have each word of the pairs.
-
-    Only pairs with support get here. The adaptive join splits a word with very many partners.
+    Only pairs with support get here. Where the dictionary is joined by a shuffle, a word with
+    very many partners is split over tasks: as the second word of a pair, and as the first one
+    if it is very frequent. Any other first word has ``frequent_lines`` lines of partners.
     """
-    x = words.select(F.col("word").alias("x"), F.col("n").alias("n_x"))
-    y = words.select(F.col("word").alias("y"), F.col("n").alias("n_y"))
-    return counts.join(x, "x").join(y, "y").select(*PAIR_COLUMNS)
+    x = numbers.select(F.col("id").alias("x_id"), F.col("word").alias("x"), F.col("n").alias("n_x"))
+    y = numbers.select(F.col("id").alias("y_id"), F.col("word").alias("y"), F.col("n").alias("n_y"))
+    if small:
+        x, y = F.broadcast(x), F.broadcast(y)
+    named = counts.withColumnsRenamed({"x": "x_id", "y": "y_id"})
+    return named.join(x, "x_id").join(y, "y_id").select(*PAIR_COLUMNS)
 
 
 def count_cooccurrence(
     lines: DataFrame,
     min_support: int = T.MIN_SUPPORT,
-    max_tokens: int = T.MAX_TOKENS,
+    max_tokens: int | None = T.MAX_TOKENS,
     broadcast_bytes: int = BROADCAST_BYTES,
     frequent_lines: int = FREQUENT_LINES,
 ) -> Counts:
     """Count words and pairs of a corpus; computes the dictionary, leaves the pairs lazy.
 
-    The corpus is read and tokenised once; its word sets and the dictionary are kept in the
-    shared folder.
+    Only the first ``max_tokens`` tokens of a line count; ``None`` counts whole lines. The
+    corpus is read and tokenised once; its word sets and the dictionary are kept in the shared
+    folder.
     """
-    bags = materialise(word_sets(lines, max_tokens))
-    words = materialise(dictionary(bags))
+    bags = materialise(word_sets(lines, max_tokens), "bags")
+    words = materialise(dictionary(bags), "words")
     supported = supported_words(words, min_support)
 
     entry = F.octet_length("word") + ENTRY_BYTES
-    size = words.agg(
-        F.max(F.when(F.col("word").isNull(), F.col("n"))).alias("lines"),
-        F.max(F.when(F.col("word").isNotNull(), F.col("n"))).alias("most"),
-        F.count_if(is_supported(min_support)).alias("words"),
-        F.sum(F.when(is_supported(min_support), entry)).alias("bytes"),
-    ).first()
-    limit = max(frequent_lines, int(FREQUENT_SHARE * (size["lines"] or 0)))
-    any_frequent = (size["most"] or 0) > limit
-
-    if (size["bytes"] or 0) <= broadcast_bytes:
-        numbers = numbered(supported)
-        counts = count_sets(numbered_sets(bags, numbers, limit), any_frequent)
-        pairs = with_words(counts.where(F.col("n_xy") >= min_support), numbers)
-        return Counts(words, pairs, size["words"], min_support, max_tokens)
-
-    if not any_frequent:
-        counts = count_sets(plain_sets(bags, rarer=max_tokens), any_frequent)
-    else:
-        frequent = supported.where(F.col("n") > limit)
-        if frequent.agg(F.sum(entry)).first()[0] <= broadcast_bytes:
-            counts = count_sets(ordered_sets(bags, numbered(frequent)), any_frequent)
-        else:
-            counts = count_in_map_tasks(_partners(plain_sets(bags, rarer=0)))
-    pairs = with_frequencies(counts.where(F.col("n_xy") >= min_support), supported)
-    return Counts(words, pairs, size["words"], min_support, max_tokens)
+    size = supported.agg(F.max("n").alias("most"), F.sum(entry).alias("bytes")).first()
+    any_frequent = (size["most"] or 0) > frequent_lines
+    small = (size["bytes"] or 0) <= broadcast_bytes
+
+    numbers = numbered(supported)
+    sets = numbered_sets(bags, F.broadcast(numbers) if small else numbers, frequent_lines)
+    counts = count_sets(sets, any_frequent)
+    pairs = with_words(counts.where(F.col("n_xy") >= min_support), numbers, small)
+    return Counts(words, pairs, min_support, max_tokens)

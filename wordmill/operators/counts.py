@@ -29,7 +29,10 @@ def line_total(lines: DataFrame) -> DataFrame:
     return lines.agg(F.count("*").alias("n_lines"))
 
 
-def line_frequency(lines: DataFrame, max_tokens: int = T.MAX_TOKENS) -> DataFrame:
-    """Number of lines each word occurs in, within the token cap: ``word, n``."""
+def line_frequency(lines: DataFrame, max_tokens: int | None = T.MAX_TOKENS) -> DataFrame:
+    """Number of lines each word occurs in: ``word, n``.
+
+    Only the first ``max_tokens`` tokens of a line count; ``None`` counts whole lines.
+    """
     words = T.distinct_words(F.col("value"), max_tokens)
     return lines.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))

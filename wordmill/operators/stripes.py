@@ -1,22 +1,16 @@
-"""Maps per word ("stripes") whose size is bounded."""
+"""Maps per word ("stripes") in a fixed number of parts."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Most entries a map is meant to hold. A word with more partners gets several rows.
-MAX_ENTRIES = 100_000
 
-
-def parts_for(entries: Column, max_entries: int) -> Column:
-    """How many rows a word needs when it has at most ``entries`` partners."""
-    return F.greatest(F.ceil(entries / F.lit(max_entries)), F.lit(1)).cast("int")
-
-
-def part_of(partner: Column, parts: Column) -> Column:
-    """The row of its word that a partner goes to; always 0 for a word with one row."""
-    return F.pmod(F.xxhash64(partner), parts).cast("int")
+def part_of(partner: Column, buckets: int) -> Column:
+    """The part of its word's map that a partner goes to; it depends on nothing else."""
+    part = F.conv(F.left(F.md5(partner), F.lit(8)), 16, 10).cast("long") % buckets
+    # Never null, so that a join on it adds no filter and equal exchanges stay equal.
+    return F.coalesce(part.cast("int"), F.lit(0))
 
 
 def collect_stripes(entries: DataFrame, word: str, partner: str, value: str) -> DataFrame:

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from wordmill.functions import text as T
 from wordmill.functions.scores import ratio
-from wordmill.operators.stripes import MAX_ENTRIES, collect_stripes, part_of, parts_for
+from wordmill.operators.stripes import collect_stripes, part_of
+
+SALTS = 16
 
 
 def bigrams(lines: DataFrame) -> DataFrame:
@@ -29,7 +31,7 @@ def bigram_counts(lines: DataFrame) -> DataFrame:
 def _marginals(counts: DataFrame) -> DataFrame:
     # Grouping the counted bigrams instead of the raw ones adds up a frequent first word
     # inside every task, so its row reaches the second shuffle once per task.
-    return counts.groupBy("w1").agg(F.sum("n").alias("total"), F.count("*").alias("followers"))
+    return counts.groupBy("w1").agg(F.sum("n").alias("total"))
 
 
 def bigram_marginals(lines: DataFrame) -> DataFrame:
@@ -44,31 +46,29 @@ def bigram_grouping_sets(lines: DataFrame) -> DataFrame:
     return counts.groupingSets(sets, "w1", "w2").agg(F.sum("n").alias("n"))
 
 
-def _with_marginals(lines: DataFrame) -> DataFrame:
-    # A join, not a window over w1: the adaptive join splits a first word that dominates the
-    # corpus over several tasks, a window would sort all its bigrams in one.
+def _with_marginals(lines: DataFrame, salts: int) -> DataFrame:
+    # A join, not a window over w1, and in as many parts per first word as there are salts: a
+    # word that starts most bigrams is then no single task's work. Its total is one short row,
+    # repeated for each part.
     counts = bigram_counts(lines)
-    return counts.join(_marginals(counts), "w1")
+    parts = _marginals(counts).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return counts.withColumn("part", part_of(F.col("w2"), salts)).join(parts, ["w1", "part"])
+
 
+def bigram_relfreq_pairs(lines: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Share of each bigram among those with the same first word: ``w1, w2, rf``.
 
-def bigram_relfreq_pairs(lines: DataFrame) -> DataFrame:
-    """Share of each bigram among those with the same first word: ``w1, w2, rf``."""
-    return _with_marginals(lines).select(
-        "w1", "w2", ratio(F.col("n"), F.col("total")).alias("rf")
-    )
+    ``salts`` is how many tasks share the bigrams of one first word; the result is the same.
+    """
+    return _with_marginals(lines, salts).select("w1", "w2", ratio(F.col("n"), F.col("total")).alias("rf"))
 
 
-def bigram_relfreq_stripes(lines: DataFrame, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """The same as one map from second word to share per first word: ``w1, part, stripe``.
+def bigram_relfreq_stripes(lines: DataFrame, buckets: int = 1) -> DataFrame:
+    """The same as maps from second word to share per first word: ``w1, part, stripe``.
 
-    ``part`` is 0 unless a word has more than ``max_entries`` followers, which are then spread
-    over as many rows as that takes.
+    A word's map comes in up to ``buckets`` parts; a hash of the second word says which part it
+    is in, for every word and at every size. With one bucket each word is one row, and all its
+    followers have to fit into one task.
     """
-    parts = parts_for(F.col("followers"), max_entries)
-    entries = _with_marginals(lines).select(
-        "w1",
-        part_of(F.col("w2"), parts).alias("part"),
-        "w2",
-        ratio(F.col("n"), F.col("total")).alias("rf"),
-    )
+    entries = _with_marginals(lines, buckets).select("w1", "part", "w2", ratio(F.col("n"), F.col("total")).alias("rf"))
     return collect_stripes(entries, "w1", "w2", "rf")

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions import scores as S
 from wordmill.functions.text import MAX_TOKENS, MIN_SUPPORT
 from wordmill.operators.cooccurrence import Counts, count_cooccurrence
-from wordmill.operators.stripes import MAX_ENTRIES, collect_stripes, part_of, parts_for
-from wordmill.sources.checkpoints import materialise
+from wordmill.operators.stripes import collect_stripes, part_of
 
 
 def _both_ways(half: DataFrame, swapped: dict[str, str]) -> DataFrame:
@@ -55,20 +52,9 @@ def _entries(counts: Counts) -> DataFrame:
     )
 
 
-def stripes_from_counts(counts: Counts, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    if counts.vocabulary <= max_entries:
-        # No word has more partners than there are frequent words.
-        entries = _entries(counts).withColumn("part", F.lit(0))
-    else:
-        # The pairs are read twice, so they are counted once and kept.
-        entries = _entries(replace(counts, pairs=materialise(counts.pairs)))
-        partners = entries.groupBy("word").agg(F.count("*").alias("partners"))
-        long = partners.where(F.col("partners") > max_entries)
-        parts = parts_for(F.coalesce("partners", F.lit(0)), max_entries)
-        entries = entries.join(long, "word", "left").select(
-            "word", part_of(F.col("partner"), parts).alias("part"), "partner", "log10_pmi"
-        )
-    # Words that had company but no partner with enough support keep an empty map.
+def stripes_from_counts(counts: Counts, buckets: int = 1) -> DataFrame:
+    entries = _entries(counts).select("word", part_of(F.col("partner"), buckets).alias("part"), "partner", "log10_pmi")
+    # Words that had company keep part 0, empty if no partner with enough support is in it.
     bare = counts.words.where(F.col("word").isNotNull() & F.col("paired")).select(
         "word",
         F.lit(0).alias("part"),
@@ -79,9 +65,12 @@ def stripes_from_counts(counts: Counts, max_entries: int = MAX_ENTRIES) -> DataF
 
 
 def pair_counts(
-    lines: DataFrame, min_support: int = MIN_SUPPORT, max_tokens: int = MAX_TOKENS
+    lines: DataFrame, min_support: int = MIN_SUPPORT, max_tokens: int | None = MAX_TOKENS
 ) -> DataFrame:
-    """Number of lines that hold both words, for pairs with enough support: ``x, y, n``."""
+    """Number of lines that hold both words, for pairs with enough support: ``x, y, n``.
+
+    Only the first ``max_tokens`` tokens of a line count; ``None`` counts whole lines.
+    """
     half = count_cooccurrence(lines, min_support, max_tokens).pairs
     return _both_ways(half.select("x", "y", F.col("n_xy").alias("n")), {"x": "y"}).select(
         "x", "y", "n"
@@ -89,25 +78,29 @@ def pair_counts(
 
 
 def pmi_pairs(
-    lines: DataFrame, min_support: int = MIN_SUPPORT, max_tokens: int = MAX_TOKENS
+    lines: DataFrame, min_support: int = MIN_SUPPORT, max_tokens: int | None = MAX_TOKENS
 ) -> DataFrame:
-    """Both words, then ``n_x, p_x, n_y, p_y, n_xy, p_xy, pmi, log10_pmi``."""
+    """Both words, then ``n_x, p_x, n_y, p_y, n_xy, p_xy, pmi, log10_pmi``.
+
+    Only the first ``max_tokens`` tokens of a line count; ``None`` counts whole lines.
+    """
     return pairs_from_counts(count_cooccurrence(lines, min_support, max_tokens))
 
 
 def pmi_stripes(
     lines: DataFrame,
     min_support: int = MIN_SUPPORT,
-    max_tokens: int = MAX_TOKENS,
-    max_entries: int = MAX_ENTRIES,
+    max_tokens: int | None = MAX_TOKENS,
+    buckets: int = 1,
 ) -> DataFrame:
-    """One map from partner to log10 PMI per word: ``word, part, stripe``.
+    """Maps from partner to log10 PMI per word: ``word, part, stripe``.
 
-    Every word that shares a line with another has a row, empty or not. ``part`` is 0 unless a
-    word has more than ``max_entries`` partners; those are spread over several rows.
+    Every word that shares a line with another has a part 0, empty or not. A hash of the partner
+    says which of the ``buckets`` parts it is in, for every word and at every size. With one
+    bucket each word is one row, and all its partners have to fit into one task.
     """
     counts = count_cooccurrence(lines, min_support, max_tokens)
-    return stripes_from_counts(counts, max_entries)
+    return stripes_from_counts(counts, buckets)
 
 
 def pmi_ranked(pairs: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from wordmill.functions.text import MAX_TOKENS, MIN_SUPPORT
-from wordmill.operators.cooccurrence import Counts, supported_words
+from wordmill.operators.cooccurrence import Counts
 
 
 def write_counts(counts: Counts, path: str) -> None:
@@ -14,10 +14,9 @@ def write_counts(counts: Counts, path: str) -> None:
 
 
 def read_counts(
-    spark: SparkSession, path: str, min_support: int = MIN_SUPPORT, max_tokens: int = MAX_TOKENS
+    spark: SparkSession, path: str, min_support: int = MIN_SUPPORT, max_tokens: int | None = MAX_TOKENS
 ) -> Counts:
     """Counts written before; the two parameters must be those they were counted with."""
     words = spark.read.parquet(f"{path}/words")
     pairs = spark.read.parquet(f"{path}/pairs")
-    vocabulary = supported_words(words, min_support).count()
-    return Counts(words, pairs, vocabulary, min_support, max_tokens)
+    return Counts(words, pairs, min_support, max_tokens)

@@ -26,6 +26,11 @@ def render_pmi_pairs(pairs: DataFrame) -> DataFrame:
     return _key_value(pairs, _pair("x", "y"), render_vector())
 
 
+def render_bigram_counts(counts: DataFrame) -> DataFrame:
+    """``w1, w2, n`` as ``(w1, w2)`` and the count."""
+    return _key_value(counts, _pair("w1", "w2"), F.col("n").cast("string"))
+
+
 def render_bigram_pairs(pairs: DataFrame) -> DataFrame:
     """``w1, w2, rf`` as ``(w1, w2)`` and the share."""
     return _key_value(pairs, _pair("w1", "w2"), F.col("rf").cast("string"))

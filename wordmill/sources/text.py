@@ -14,20 +14,9 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str, column: str, keep: list[str] | None = None) -> DataFrame:
     """A text column of a Parquet table (and the ``keep`` columns), nothing else of it."""
-    return spread(spark.read.parquet(path).select(*(keep or []), column))
+    return spark.read.parquet(path).select(*(keep or []), column)
 
 
 def read_table_lines(spark: SparkSession, path: str, column: str) -> DataFrame:
     """One row per line of a text column of a Parquet table as ``value``."""
     return split_lines(read_texts(spark, path, column), column)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer splits than the session has parallelism.
-
-    A large table has many splits and is read as it lies, without this shuffle.
-    """
-    parallelism = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < parallelism:
-        return scan.repartition(parallelism)
-    return scan
