@@ -90,14 +90,14 @@ def mixing_plan(sources: DataFrame, exponent: float) -> DataFrame:
     """
     power = F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double"), F.lit(exponent))).otherwise(F.lit(0.0))
     powered = sources.withColumn("power", power)
-    sums = powered.agg(F.sum("power").alias("all"), F.max(F.col("tokens") / F.nullif("power", F.lit(0.0))).alias("per_power"))
-    # One row of sums for every source: one of the two sides is a single row.
-    budgeted = powered.join(F.broadcast(sums)).select(
+    total = powered.select(F.sum("power")).scalar()
+    per_power = powered.select(F.max(F.col("tokens") / F.nullif("power", F.lit(0.0)))).scalar()
+    budgeted = powered.select(
         *_KEY,
         "tokens",
         "rows",
-        F.coalesce(F.col("power") / F.nullif("all", F.lit(0.0)), F.lit(0.0)).alias("weight"),
-        F.coalesce(F.round(F.col("power") * F.col("per_power")).cast("long"), F.lit(0)).alias("budget"),
+        F.coalesce(F.col("power") / F.nullif(total, F.lit(0.0)), F.lit(0.0)).alias("weight"),
+        F.coalesce(F.round(F.col("power") * per_power).cast("long"), F.lit(0)).alias("budget"),
     )
     passes = F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.nullif("tokens", F.lit(0)))).otherwise(1).cast("int")
     passed = budgeted.withColumn("passes", passes)
