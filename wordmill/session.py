@@ -9,8 +9,9 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # Word sets and dictionaries that nothing refers to any more leave the checkpoint folder.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # A small shuffle may become a lot of pairs, so small partitions are not merged down to one
+    # per core.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
 
 
