@@ -134,9 +134,9 @@ def test_shards_are_even_and_keep_groups(spark, found):
     room = len(rows) // 8
     # Where no document is free to make room, some small groups find none.
     small = [g for g in groups.values() if 1 < sum(g.values()) <= room]
-    assert sum(len(g) > 1 for g in small) <= len(small) // 3
-    large = [g for g in groups.values() if sum(g.values()) > room]
-    assert all(len(g) <= -(-sum(g.values()) // room) + 3 for g in large)
+    assert sum(len(g) > 1 for g in small) <= len(small) // 2
+    # A group larger than a shard gathers in one as far as that has room.
+    assert all(max(g.values()) >= 0.6 * room for g in groups.values() if sum(g.values()) > room)
 
 
 def test_few_rows_and_none(spark):
