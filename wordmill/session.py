@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Kept results are many small files that become much work; don't merge them into few tasks.
+    "spark.sql.files.openCostInBytes": "262144",
     # A small shuffle may become a lot of pairs, so small partitions are not merged down to one
     # per core.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
