@@ -145,6 +145,19 @@ def test_copies_and_edited_copies_are_found(spark):
     assert decontamination.contaminated(docs, table.limit(0)).isEmpty()
 
 
+def test_many_edited_copies_of_one_item_are_found(spark):
+    rng = random.Random(8)
+    item = [f"{w}{k}" for k, w in enumerate(cases.words(rng, 40))]
+    # Words 18 to 20 differ in all copies, so the runs there are in no document; all others are in a hundred.
+    edited = " ".join("new" if 18 <= k <= 20 else w for k, w in enumerate(item))
+    found = [(k, " ".join([*cases.words(rng, 60), edited, *cases.words(rng, 60)])) for k in range(100)]
+    found += [(100, " ".join(item))] + [(200 + k, " ".join(cases.words(rng, 150))) for k in range(20)]
+    table = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    docs = cases.documents(spark, found)
+    assert {r.doc_id for r in decontamination.contaminated(docs, table).collect()} == set(range(101))
+    assert {r.doc_id for r in decontamination.without_items(docs, table).collect()} == set(range(200, 220))
+
+
 def brute_substrings(found):
     cut = [(i, WORD.findall(t or "")) for i, t in found]
     least = {}

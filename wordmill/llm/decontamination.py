@@ -1,9 +1,9 @@
-"""Benchmark decontamination: rare n-grams of test items seed alignments in documents.
+"""Benchmark decontamination: n-grams of test items seed alignments in documents.
 
 Items are cut into overlapping runs of three words. Documents that hold such runs are joined to
-the items; runs that are much more frequent in the corpus than the rarest of their item tell
-nothing and are dropped as seeds. Two seeds on nearly the same diagonal open a region of the
-document some four times as long as the item, and Smith-Waterman aligns the two word by word.
+the items, however many documents hold a run: a single frequent run tells nothing, but two
+different ones on nearly the same diagonal do. They open a region of the document some four
+times as long as the item, and Smith-Waterman aligns the two word by word.
 The score is the share of the best possible one: 1 for a copy, less for every word that was
 replaced, left out or put in.
 """
@@ -21,7 +21,6 @@ from wordmill.sources.checkpoints import materialise
 
 SEED_WORDS = 3
 MIN_SEEDS = 2
-RARE_FACTOR = 16  # a seed is in at most so many times the documents of its item's rarest run
 MIN_ITEM_WORDS = 5  # shorter items are found in any text and are not searched for
 MIN_SCORE = 0.4
 BROADCAST_SEEDS = 1 << 20  # up to so many runs of items, of 8 bytes each, go to every executor
@@ -66,23 +65,14 @@ def _hits(docs: DataFrame, runs: DataFrame) -> DataFrame:
     return materialise(found, "hits")
 
 
-def _rare(runs: DataFrame, hits: DataFrame) -> DataFrame:
-    """The runs of each item that are rare for it: ``item_id, run, at, n, needed``."""
-    frequency = hits.select(*_KEY, "run").distinct().groupBy("run").agg(F.count("*").alias("docs"))
-    item = Window.partitionBy("item_id")
-    counted = runs.join(frequency, "run", "left").withColumn("docs", F.coalesce("docs", F.lit(0)))
-    least = F.greatest(F.min("docs").over(item), F.lit(1))
-    rare = counted.withColumn("least", least).where(F.col("docs") <= F.col("least") * RARE_FACTOR)
-    needed = F.least(F.count("*").over(item), F.lit(MIN_SEEDS))
-    return materialise(rare.withColumn("needed", needed).select("item_id", "run", "at", "n", "needed"), "seeds")
-
-
 def _regions(hits: DataFrame, seeds: DataFrame) -> DataFrame:
     """Stretches of documents to align: key, ``regions`` of ``item_id, from, words``.
 
-    Seeds are put together by diagonal, in windows of two item lengths that overlap by one.
+    Seeds are put together by diagonal, in windows of two item lengths that overlap by one. An
+    item that is one run again and again needs only that one.
     """
-    seeds = seeds.withColumnRenamed("at", "item_at")
+    needed = F.least(F.count("*").over(Window.partitionBy("item_id")), F.lit(MIN_SEEDS))
+    seeds = seeds.withColumn("needed", needed).withColumnRenamed("at", "item_at")
     band = F.floor((F.col("at") - F.col("item_at")) / F.col("n"))
     diagonals = hits.join(seeds, "run").select(
         *_KEY, "item_id", "n", "needed", "run", (F.col("at") - F.col("item_at")).alias("d"), F.explode(F.array(band, band - 1)).alias("band")
@@ -131,7 +121,7 @@ def _matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     # A run that an item repeats counts where it comes first.
     runs = materialise(each.groupBy("item_id", "run").agg(F.min("at").alias("at"), F.max("n").alias("n")), "runs")
     hits = _hits(docs, runs)
-    regions = _regions(hits, _rare(runs, hits))
+    regions = _regions(hits, runs)
     cut = _keyed(docs.select("doc_id", "text")).join(regions, _KEY).dropDuplicates(_KEY)
     cut = cut.select(*_KEY, "regions", normal_words(F.col("text")).alias("all"))
     sliced = F.transform(
