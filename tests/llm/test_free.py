@@ -336,3 +336,23 @@ def test_labels_of_the_held_out_are_not_learned(spark):
     labels = spark.createDataFrame([(i, y) for i, _, y in found], "doc_id long, toxic int")
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert toxicity.train(docs, labels) == toxicity.train(docs, turned)
+
+
+def test_long_documents_are_not_toxic_by_length(spark):
+    rng = random.Random(7)
+    found = toxic_corpus(7, 600)
+    clean = ". ".join(" ".join(cases.words(rng, 9)) for _ in range(30_000))
+    assert len(clean) > 1_000_000
+    docs = cases.documents(spark, [*[(i, t) for i, t, _ in found], (1000, clean), (1001, f"{clean}. grolta snerk ka. {clean}")])
+    labels = spark.createDataFrame([(i, y) for i, _, y in found], "doc_id long, toxic int")
+    out = {r.doc_id: r for r in toxicity.toxicity(docs, labels).where("doc_id >= 1000").collect()}
+    assert out[1000].score < 0.5 and not out[1000].sentences
+    assert out[1001].score >= 0.5 and len(out[1001].sentences) == 1
+
+
+def test_long_documents_are_trained_on(spark):
+    rng = random.Random(9)
+    found = [(i, t + ". " + ". ".join(" ".join(cases.words(rng, 9)) for _ in range(700)), y) for i, t, y in toxic_corpus(9, 200)]
+    assert min(len(t) for _, t, _ in found) > 20_000
+    labels = spark.createDataFrame([(i, y) for i, _, y in found], "doc_id long, toxic int")
+    assert len(toxicity.train(cases.documents(spark, [(i, t) for i, t, _ in found]), labels)) > 1

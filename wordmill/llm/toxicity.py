@@ -1,15 +1,18 @@
 """Toxicity by multiple-instance learning: documents have labels, sentences get scores.
 
 A sentence's score is a logistic function of the weights of its words, and a document is toxic
-if any of its sentences is: the document's score is the noisy-or of them, 1 - prod(1 - s). Only
-document labels are needed to train the weights, and the same sentence scores say afterwards
-which sentences made the document toxic.
+if any of its sentences is. Weights are trained from document labels alone, as the noisy-or of
+the sentences with a weighted word, 1 - prod(1 - s), since that reaches all of them. A document's
+score is that of its most toxic sentence: a noisy-or adds up small scores, so long clean
+documents would become toxic by their length. The sentence scores also say which sentences made
+the document toxic. A sentence without a weighted word scores 0.
 
 A word weighs what it weighs itself and what its beginnings of 3 to 8 letters weigh, so that
 forms of a word that the training documents don't have weigh something too.
 
-The weights are fitted on a bounded sample of labelled documents, ``SAMPLE`` of each class and
-none longer than ``SAMPLE_CHARS``, in one task. All documents are scored where they lie.
+The weights are fitted in one task on a bounded sample of labelled documents of any length:
+``SAMPLE`` of each class and ``SAMPLE_CHARS`` characters of each class in all, some 40 MB of
+plain English. All documents are scored where they lie.
 """
 
 from __future__ import annotations
@@ -20,13 +23,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.sources.checkpoints import materialise
 
 SAMPLE = 2000  # training documents of each class at most
-SAMPLE_CHARS = 20_000  # longer ones are not trained on, so that the sample is bounded in bytes too
+SAMPLE_CHARS = 40_000_000  # characters of the training documents of each class together at most
 FOLDS = 5
 MIN_SURPRISE = 24.0  # log-likelihood ratio a feature needs; some one in a million has it by chance
 PREFIXES = range(3, 9)
@@ -107,9 +110,16 @@ def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray) -> tuple[dict[
     pairs = [(t, number[f]) for t, found in enumerate(known) for f in found if f in number]
     type_of, feature_of = (np.array(x, np.int32) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int32),) * 2
 
+    # Sentences without a feature say nothing either way.
+    weighs = np.bincount(type_of, minlength=len(types))[token] > 0
+    kept, sentence_of = np.unique(sentence_of[weighs], return_inverse=True)
+    token, text_of_sentence = token[weighs], text_of_sentence[kept]
+    if not token.size:
+        return {}, BIAS
+
     w, bias = np.zeros(len(number)), BIAS
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+    starts = np.searchsorted(sentence_of, np.arange(len(kept)))
     for step in range(1, ROUNDS + 1):
         of_type = np.bincount(type_of, w[feature_of], len(types))
         z = np.clip(np.add.reduceat(of_type[token], starts) + bias, -30, 30)
@@ -139,19 +149,22 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str,
     usable = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     classes = materialise(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "classes")
     order = F.xxhash64("doc_id")
-    length = F.length(F.coalesce("text", F.lit("")))
-    short = docs.where(length <= SAMPLE_CHARS)
-    known = materialise(classes.join(short.select("doc_id").distinct(), "doc_id", "left_semi"), "known")
+    lengths = docs.groupBy("doc_id").agg(F.max(F.length(F.coalesce("text", F.lit("")))).alias("chars"))
+    known = materialise(classes.join(lengths, "doc_id").where(F.col("chars") <= SAMPLE_CHARS), "known")
     sizes = {row["toxic"]: row["n"] for row in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     picked = None
     for value in sorted(sizes):
         some = known.where(F.col("toxic") == value).orderBy(order, "doc_id").limit(sample)
-        some = some.withColumn("weight", F.lit(sizes[value] / min(sizes[value], sample)))
+        # Of a class with long documents fewer are taken: a running sum over the sample's few rows.
+        so_far = F.sum("chars").over(Window.partitionBy("toxic").orderBy(order, "doc_id"))
+        some = some.withColumn("so_far", so_far).where(F.col("so_far") <= SAMPLE_CHARS).drop("chars", "so_far")
+        some = materialise(some, "some")
+        some = some.withColumn("weight", F.lit(sizes[value] / some.count()))
         picked = some if picked is None else picked.unionByName(some)
     if picked is None:
         return {"": BIAS}
     picked = materialise(picked.withColumn("order", order), "sample")
-    texts = short.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # Rows that agree in doc_id are one training document.
     rows = materialise(texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(*[F.min(c).alias(c) for c in ("text", "toxic", "weight", "order")]), "training")
     fitted = rows.groupBy().applyInPandas(_fit_rows, "feature string, weight double")
@@ -180,9 +193,10 @@ def _scores(model):
                 for start, end, words in sentences(text):
                     spans.append((start, end))
                     z.append(sum(map(weight, words)))
-                z = np.clip(np.array(z) + bias, -30, 30)
-                scores.append(float(-np.expm1(-np.logaddexp(0, z).sum())) if len(z) else 0.0)
-                s = 1 / (1 + np.exp(-z))
+                z = np.array(z)
+                z = np.where(z != 0, np.clip(z + bias, -30, 30), -np.inf)
+                s = np.exp(-np.logaddexp(0, -z))
+                scores.append(float(s.max(initial=0.0)))
                 located.append([{"start": a, "end": b, "score": float(x)} for (a, b), x in zip(spans, s) if x >= 0.5])
             yield pd.DataFrame({"score": scores, "sentences": located})
 
