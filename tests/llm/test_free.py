@@ -263,6 +263,18 @@ def test_wrappers_tell_content_from_template(spark):
     assert html_extraction.main_text(pages_table(spark, rows).limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("around", ["article", "div"])
+def test_copies_of_a_page_are_no_template(spark, around):
+    def copied(k, quote):
+        return f"<html><body><{around}><h1>Title {k}</h1><p>Own text of page {k}</p>{quote}<p>The end of {k}</p></{around}><p>Call us</p></body></html>"
+
+    rows = [(k, f"https://a.example/{k}", copied(k, "")) for k in range(4)]
+    rows += [(k, f"https://a.example/{k}", copied(9, "<blockquote>Said once</blockquote>")) for k in range(10, 14)]
+    out = {r.page_id: r.text for r in html_extraction.main_text(pages_table(spark, rows)).collect()}
+    assert {out[k] for k in range(10, 14)} == {"Title 9\nOwn text of page 9\nSaid once\nThe end of 9"}
+    assert [out[k] for k in range(4)] == [f"Title {k}\nOwn text of page {k}\nThe end of {k}" for k in range(4)]
+
+
 def test_wrappers_are_regular_expressions():
     wrapper = html_extraction.Wrapper()
     for text in ("<div>Hello</div><p>a<p>b", "<div>Hello</div><hr><p>c", "<div>Hello</div><ul><li>x<li>y</ul><p>d"):
