@@ -275,6 +275,21 @@ def test_copies_of_a_page_are_no_template(spark, around):
     assert [out[k] for k in range(4)] == [f"Title {k}\nOwn text of page {k}\nThe end of {k}" for k in range(4)]
 
 
+def test_text_beside_the_region_stays(spark):
+    def split(k):
+        lead = f"Lead {k} " + f"of the story number {k} " * 3
+        body = f"Body {k} " + f"and what it says on {k} " * 8
+        return (
+            f'<div class="box"><div class="top"><h2><a href="/{k}">Title {k}</a></h2><p>{lead}</p></div><div class="text"><p>{body}</p></div>'
+            f'<div class="more"><p><a href="/x">Next page {k + 1}</a></p></div></div>',
+            f"Title {k}\n{lead.strip()}\n{body.strip()}",
+        )
+
+    rows = [(k, f"https://a.example/{k}", split(k)[0]) for k in range(6)]
+    out = {r.page_id: r.text for r in html_extraction.main_text(pages_table(spark, rows)).collect()}
+    assert out == {k: split(k)[1] for k in range(6)}
+
+
 def test_wrappers_are_regular_expressions():
     wrapper = html_extraction.Wrapper()
     for text in ("<div>Hello</div><p>a<p>b", "<div>Hello</div><hr><p>c", "<div>Hello</div><ul><li>x<li>y</ul><p>d"):
