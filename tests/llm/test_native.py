@@ -139,6 +139,14 @@ def test_shards_are_even_and_keep_groups(spark, found):
     assert all(max(g.values()) >= 0.6 * room for g in groups.values() if sum(g.values()) > room)
 
 
+def test_a_large_group_settles(spark):
+    # Twelve rounds leave the group in eight or nine shards of ten.
+    found = [(k, "hot") for k in range(300)] + [(k, f"pair{k // 2}") for k in range(120)] + [(k, f"single{k}") for k in range(180)]
+    out = sharding.shard(spark.createDataFrame(found, "doc_id long, text string"), shards=10).collect()
+    assert Counter(Counter(r.shard for r in out).values()) == {60: 10}
+    assert len({r.shard for r in out if r.text_crc32 == zlib.crc32(b"hot")}) <= 7
+
+
 def test_few_rows_and_none(spark):
     assert sharding.shard(cases.empty(spark)).isEmpty()
 

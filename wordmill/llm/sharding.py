@@ -13,6 +13,8 @@ and shard, and rows meet those counts in joins that split a large group over tas
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from wordmill.llm.common import numbered
 from wordmill.sources.checkpoints import materialise
 
 SHARDS = 8
-ROUNDS = 12
+ROUNDS_PER_SHARD = 12  # a mere safeguard; a large group takes some two rounds for each shard it fills
 LAW = "rows"
 
 
@@ -53,11 +55,14 @@ def _by_shards(values: dict, default: int):
     return out
 
 
-def propagate(state: DataFrame, capacities: list[int], rounds: int = ROUNDS) -> DataFrame:
+def propagate(state: DataFrame, capacities: list[int], rounds: int | None = None) -> DataFrame:
     """Move linked rows ``uid, group, shard`` to their neighbours: the same columns.
 
-    The least of ``rounds`` and as many as change something.
+    Rounds go on until nothing changes. They come to an end, as every move puts more rows of a
+    group together; ``rounds`` bounds them, ``ROUNDS_PER_SHARD`` for each shard unless given,
+    and a warning says so if they were cut short.
     """
+    rounds = ROUNDS_PER_SHARD * len(capacities) if rounds is None else rounds
     full: set[int] = set()
     still = 0
     for number in range(rounds):
@@ -94,10 +99,12 @@ def propagate(state: DataFrame, capacities: list[int], rounds: int = ROUNDS) ->
         still = 0 if newly_full or any(quotas.values()) else still + 1
         if not wanted or still == 2:
             break
+    else:
+        warnings.warn(f"sharding stopped after {rounds} rounds; some groups may be cut that need not be", stacklevel=2)
     return state
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS, rounds: int | None = None) -> DataFrame:
     """All documents in shards of equal row counts, equal texts together.
 
     One row per row of ``docs``: ``doc_id, size, text_crc32, law, shard, slot, grown_shard`` and
