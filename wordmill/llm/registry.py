@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wordmill.llm import (
+    byte_bpe,
     decontamination,
+    hard_negatives,
     html_extraction,
     mixing,
+    periodic_runs,
     pii,
     quality_rules,
     sharding,
@@ -18,7 +23,7 @@ from wordmill.llm import (
     toxicity,
     warc,
 )
-from wordmill.llm.common import benchmark, documents, labels, pages
+from wordmill.llm.common import benchmark, documents, embeddings, labels, pages
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +66,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(documents(spark, sf_dir), plant=True)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return byte_bpe.digests(documents(spark, sf_dir), byte_bpe.serialise(ranks), public_tokenizers.PATTERN)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label in seven is moved first, so that close rows of another label exist."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = embeddings(spark, sf_dir).withColumn("label", moved)
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sharding": op1_sharding,
@@ -73,6 +94,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_simhash": op9_simhash,
         "op10_toxicity": op10_toxicity,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_byte_bpe": op12_byte_bpe,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -81,4 +105,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc": warc.SQL,
         "op6_substring_dedup": substring_dedup.SQL,
         "op8_mixing": mixing.SQL,
+        "op13_hard_negatives": hard_negatives.SQL,
     }
