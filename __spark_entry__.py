@@ -22,9 +22,7 @@ from wordmill.sources.text import read_lines, read_table_lines, read_texts
 try:
     import corpus_pipeline
     from wordmill.llm import registry as llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "wordmill.llm"):
-        raise
+except ImportError:  # removed, or without a library it needs: the rest works without it
     corpus_pipeline = llm = None
 
 TOP_K = 100
@@ -132,6 +130,30 @@ def pmi_pairs_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _widen(pairs_from_counts(intermediate.read_counts(spark, path)))
 
 
+def word_frequency_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line frequencies out of a table of words and pairs, without opening the pairs."""
+    path = kept_path(spark, "counts")
+    intermediate.write_counts(count_cooccurrence(_lines(spark, sf_dir)), path)
+    return intermediate.read_kind(spark, path, "word").select(F.col("x").alias("word"), "n")
+
+
+def pmi_pairs_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and conversations counted apart, kept, and scored together."""
+    paths = []
+    for lines in (_lines(spark, sf_dir), _talk(spark, sf_dir)):
+        paths.append(kept_path(spark, "counts"))
+        intermediate.write_counts(count_cooccurrence(lines, min_support=1), paths[-1])
+    parts = [intermediate.read_counts(spark, path, min_support=1) for path in paths]
+    return _widen(pairs_from_counts(W.merge_counts(parts)))
+
+
+def pair_stripes_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps of pair counts of documents and conversations, added up map by map."""
+    made = [W.pair_count_stripes(lines, 1, buckets=BUCKETS) for lines in (_lines(spark, sf_dir), _talk(spark, sf_dir))]
+    merged = W.supported_stripes(W.merge_stripes(*made, "word"), T.MIN_SUPPORT)
+    return merged.select("word", "part", F.explode("stripe").alias("partner", "n"))
+
+
 def pmi_pairs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.render_pmi_pairs(W.pmi_pairs(_lines(spark, sf_dir)))
 
@@ -220,6 +242,19 @@ def bigram_relfreq_stripes_8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _entries(W.bigram_relfreq_stripes(_lines(spark, sf_dir), buckets=BUCKETS), "w1", "w2", "rf")
 
 
+def bigram_relfreq_stripes_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maps of bigram counts of documents and conversations added up, then turned into shares."""
+    made = [W.bigram_count_stripes(lines, BUCKETS) for lines in (_lines(spark, sf_dir), _talk(spark, sf_dir))]
+    return _entries(W.normalised_stripes(W.merge_stripes(*made, "w1"), "w1"), "w1", "w2", "rf")
+
+
+def bigram_pairs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares written as text, with the number read back from it."""
+    rendered = sinks.render_bigram_pairs(W.bigram_relfreq_pairs(_lines(spark, sf_dir)))
+    parts = F.split("value", "\t")
+    return _widen(rendered.select(parts[0].alias("pair"), parts[1].cast("float").alias("rf")))
+
+
 def bigram_counts_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys and counts of bigrams as text."""
     return sinks.render_bigram_counts(W.bigram_counts(_lines(spark, sf_dir)))
@@ -328,6 +363,11 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pair_counts": pair_counts,
         "pmi_pairs": pmi_pairs,
         "pmi_pairs_files": pmi_pairs_files,
+        "word_frequency_files": word_frequency_files,
+        "pmi_pairs_merged": pmi_pairs_merged,
+        "pair_stripes_merged": pair_stripes_merged,
+        "bigram_relfreq_stripes_merged": bigram_relfreq_stripes_merged,
+        "bigram_pairs_text": bigram_pairs_text,
         "pmi_pairs_text": pmi_pairs_text,
         "pmi_stripes": pmi_stripes,
         "pmi_top": pmi_top,
@@ -395,7 +435,7 @@ def _sql_line_words(key: str = "doc_id", table: str = "documents", support: int
       SELECT *, min(raw_pos) FILTER (WHERE raw_pos >= {cap or 0})
                 OVER (PARTITION BY k, line_no) AS last_pos
       FROM words
-    ), line_words AS (
+    ), line_words AS MATERIALIZED (
       SELECT DISTINCT k, line_no, word FROM bounded WHERE {counted}
     ), frequency AS (
       SELECT word, count(*) AS n FROM line_words GROUP BY word
@@ -413,7 +453,7 @@ def _sql_line_words(key: str = "doc_id", table: str = "documents", support: int
       FROM pairs p JOIN frequency fx ON p.x = fx.word JOIN frequency fy ON p.y = fy.word, total
     ), ratios AS (
       SELECT *, p_xy / (p_x * p_y) AS pmi FROM probabilities
-    ), scored AS (
+    ), scored AS MATERIALIZED (
       SELECT *, CAST(log10(CAST(pmi AS DOUBLE)) AS FLOAT) AS log10_pmi FROM ratios
     )"""
 
@@ -442,9 +482,9 @@ def _sql_stripes(buckets: int) -> str:
     return f"""
     , parts AS (
       SELECT x, {_sql_part("y", buckets)} AS part, y, CAST(log10_pmi AS DOUBLE) AS log10_pmi FROM scored
-    ), company AS (
-      SELECT DISTINCT word FROM line_words
-      JOIN (SELECT k, line_no FROM line_words GROUP BY k, line_no HAVING count(*) > 1) USING (k, line_no)
+    ), company AS MATERIALIZED (
+      SELECT DISTINCT word FROM (SELECT word, count(*) OVER (PARTITION BY k, line_no) AS n FROM line_words)
+      WHERE n > 1
     )
     SELECT word, CAST(0 AS INTEGER) AS part, y AS partner, log10_pmi
     FROM company LEFT JOIN (SELECT * FROM parts WHERE part = 0) ON word = x
@@ -458,6 +498,12 @@ _WORD_COUNT = "SELECT word, count(*) AS n FROM words GROUP BY word"
 # A talk's lines are told apart by conversation and turn.
 _TALK = ("struct_pack(c := conv_id, t := turn)", "conversations")
 
+_BOTH = (
+    "struct_pack(a := a, b := b)",
+    """(SELECT doc_id AS a, -1 AS b, text FROM documents
+        UNION ALL SELECT conv_id, turn, text FROM conversations)""",
+)
+
 
 def _sql_number(name: str) -> str:
     """Five decimals, rounded half away from zero; negative values keep their sign."""
@@ -501,6 +547,14 @@ def _oracle_sql() -> dict[str, str]:
         "pair_counts": f"WITH {_sql_line_words()} SELECT x, y, n FROM pairs",
         "pmi_pairs": f"WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored",
         "pmi_pairs_files": f"WITH {_sql_line_words()} SELECT {_PMI_COLUMNS} FROM scored",
+        "word_frequency_files": f"WITH {_sql_line_words()} SELECT word, n FROM frequency",
+        "pmi_pairs_merged": f"WITH {_sql_line_words(*_BOTH)} SELECT {_PMI_COLUMNS} FROM scored",
+        "pair_stripes_merged": f"""WITH {_sql_line_words(*_BOTH)}
+          SELECT x AS word, {_sql_part("y", BUCKETS)} AS part, y AS partner, n FROM pairs""",
+        "bigram_relfreq_stripes_merged": f"""WITH {_sql_bigrams(*_BOTH)}
+          SELECT w1, {_sql_part("w2", BUCKETS)} AS part, w2, CAST(rf AS DOUBLE) AS rf FROM shares""",
+        "bigram_pairs_text": f"""WITH {_sql_bigrams()}
+          SELECT '(' || w1 || ', ' || w2 || ')' AS pair, CAST(rf AS DOUBLE) AS rf FROM shares""",
         "pmi_pairs_text": f"""WITH {_sql_line_words()}
           SELECT '(' || x || ', ' || y || ')' || chr(9) || {vector} AS value FROM scored""",
         "pmi_stripes": f"WITH {_sql_line_words()} {_sql_stripes(1)}",

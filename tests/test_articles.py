@@ -69,6 +69,13 @@ def test_random_dumps_equal_the_state_machine(spark):
         assert in_order(assemble_articles(placed(spark, files, block_size))) == expected
 
 
+def test_articles_across_many_blocks(spark):
+    """Blocks without any tag, an article closed twice blocks apart, and a tail that never ends."""
+    lines = ["<doc>", "a", *["b"] * 9, "</doc>", *["c"] * 7, "</doc>", "d", "<doc>", "e", "f", "g"]
+    for block_size in (1, 2, 3, 5, 12):
+        assert in_order(assemble_articles(placed(spark, {"f": lines}, block_size))) == model.articles(lines)
+
+
 def test_a_large_file_is_read_in_blocks(spark, tmp_path):
     files = {"f": [line for i in range(300) for line in (f"<doc id='{i}'>", f"t{i}", "u", "</doc>")]}
     path = tmp_path / "f.txt"

@@ -9,7 +9,8 @@ import wordmill as W
 from test_pmi import random_lines
 from wordmill.operators.cooccurrence import count_cooccurrence, dictionary, word_sets
 from wordmill.plans.pmi import pairs_from_counts, stripes_from_counts
-from wordmill.sources.articles import assemble_articles
+from wordmill.sources import intermediate
+from wordmill.sources.articles import assemble_articles, fragments, read_dump
 from wordmill.sources.text import read_table_lines, read_texts
 
 
@@ -123,3 +124,29 @@ def test_support_prunes_pairs_whatever_the_size_of_the_dictionary(corpus):
     assert sorted(map(tuple, small.pairs.collect())) == sorted(map(tuple, large.pairs.collect()))
     frequent = count_cooccurrence(lines, 5, broadcast_bytes=0, frequent_lines=20)
     assert sorted(map(tuple, frequent.pairs.collect())) == sorted(map(tuple, small.pairs.collect()))
+
+
+def test_a_dump_is_scanned_and_shuffled_once(spark, tmp_path):
+    (tmp_path / "d.txt").write_text("<doc>\nx\n</doc>\n" * 50)
+    text = plan(fragments(read_dump(spark, str(tmp_path))))
+    assert text.count("FileScan") == 1 and shuffles(text) == 1
+    # What follows reads the kept fragments, and for the tags of a block not their text.
+    rest = plan(assemble_articles(read_dump(spark, str(tmp_path))))
+    assert "FileScan text" not in rest
+    assert "ReadSchema: struct<file:string,block:bigint,opened:bigint,ended:bigint,closed:boolean>" in rest
+
+
+def test_one_kind_of_counts_is_read_without_the_others(spark, corpus, tmp_path):
+    path = str(tmp_path / "counts")
+    intermediate.write_counts(count_cooccurrence(corpus(random_lines())), path)
+    assert sorted(p.name for p in (tmp_path / "counts").glob("kind=*")) == ["kind=corpus", "kind=pair", "kind=word"]
+    text = plan(intermediate.read_kind(spark, path, "word").select("x", "n"))
+    assert re.search(r"PartitionFilters: \[[^]]*kind", text)
+    assert re.findall(r"ReadSchema: (\S+)", text) == ["struct<x:string,n:bigint>"]
+
+
+def test_ready_maps_are_merged_whole(corpus):
+    made = [W.bigram_count_stripes(corpus(random_lines()), 4) for _ in range(2)]
+    text = plan(W.merge_stripes(*made, "w1"))
+    after = text[: text.index("FullOuter")]
+    assert "Generate" not in after and "Exchange" not in after

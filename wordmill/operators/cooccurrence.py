@@ -14,6 +14,7 @@ Pairs are what costs: a corpus has many more of them than it has words. They are
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -173,6 +174,13 @@ def with_words(counts: DataFrame, numbers: DataFrame, small: bool) -> DataFrame:
     return named.join(x, "x_id").join(y, "y_id").select(*PAIR_COLUMNS)
 
 
+def _size(supported: DataFrame, broadcast_bytes: int) -> tuple[int, bool]:
+    """Lines of the most frequent word, and whether the dictionary is small enough to broadcast."""
+    entry = F.octet_length("word") + ENTRY_BYTES
+    size = supported.agg(F.max("n").alias("most"), F.sum(entry).alias("bytes")).first()
+    return size["most"] or 0, (size["bytes"] or 0) <= broadcast_bytes
+
+
 def count_cooccurrence(
     lines: DataFrame,
     min_support: int = T.MIN_SUPPORT,
@@ -190,13 +198,38 @@ def count_cooccurrence(
     words = materialise(dictionary(bags), "words")
     supported = supported_words(words, min_support)
 
-    entry = F.octet_length("word") + ENTRY_BYTES
-    size = supported.agg(F.max("n").alias("most"), F.sum(entry).alias("bytes")).first()
-    any_frequent = (size["most"] or 0) > frequent_lines
-    small = (size["bytes"] or 0) <= broadcast_bytes
+    most, small = _size(supported, broadcast_bytes)
+    any_frequent = most > frequent_lines
 
     numbers = numbered(supported)
     sets = numbered_sets(bags, F.broadcast(numbers) if small else numbers, frequent_lines)
     counts = count_sets(sets, any_frequent)
     pairs = with_words(counts.where(F.col("n_xy") >= min_support), numbers, small)
     return Counts(words, pairs, min_support, max_tokens)
+
+
+def merge_counts(
+    several: list[Counts], min_support: int = T.MIN_SUPPORT, broadcast_bytes: int = BROADCAST_BYTES
+) -> Counts:
+    """Counts of corpora together, from counts made apart.
+
+    Counts of lines add up as long as nothing was dropped, so every part has to be counted with
+    ``min_support=1`` and the same cap; support is applied to the sums. Parts may be kept by
+    ``write_counts``, and a new one be added to them without counting the old corpora again.
+    """
+    if any(part.min_support > 1 for part in several):
+        raise ValueError("counts that dropped rare pairs do not add up; count with min_support=1")
+    if len({part.max_tokens for part in several}) != 1:
+        raise ValueError("counts with different caps on tokens do not add up")
+    words = reduce(DataFrame.unionByName, [part.words for part in several])
+    words = words.groupBy("word").agg(F.sum("n").alias("n"), F.bool_or("paired").alias("paired"))
+    words = materialise(words, "words")
+
+    # Parts may have a pair either way round.
+    way = (F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), "n_xy")
+    pairs = reduce(DataFrame.unionByName, [part.pairs.select(*way) for part in several])
+    pairs = pairs.groupBy("x", "y").agg(F.sum("n_xy").alias("n_xy")).where(F.col("n_xy") >= min_support)
+    supported = supported_words(words, min_support)
+    _, small = _size(supported, broadcast_bytes)
+    named = with_words(pairs, supported.withColumn("id", F.col("word")), small)
+    return Counts(words, named, min_support, several[0].max_tokens)

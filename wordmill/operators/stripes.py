@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordmill.functions.scores import ratio
+
 
 def part_of(partner: Column, buckets: int) -> Column:
     """The part of its word's map that a partner goes to; it depends on nothing else."""
@@ -26,3 +28,36 @@ def collect_stripes(entries: DataFrame, word: str, partner: str, value: str) ->
         .groupBy(word, "part")
         .agg(F.map_from_entries(F.sort_array(F.collect_list("entry"))).alias("stripe"))
     )
+
+
+def merge_stripes(left: DataFrame, right: DataFrame, word: str) -> DataFrame:
+    """Maps of numbers of two corpora added up partner by partner: ``word, part, stripe``.
+
+    Both have to come in the same number of parts: a partner is then in the same part on either
+    side, so two ready maps meet per part, and no entry is taken out of its map.
+    """
+    kind = left.schema["stripe"].dataType
+    none, zero = F.create_map().cast(kind), F.lit(0).cast(kind.valueType)
+    both = left.withColumnRenamed("stripe", "mine").join(right.withColumnRenamed("stripe", "other"), [word, "part"], "full_outer")
+    added = F.map_zip_with(
+        F.coalesce("mine", none),
+        F.coalesce("other", none),
+        lambda _, a, b: F.coalesce(a, zero) + F.coalesce(b, zero),
+    )
+    return both.select(word, "part", added.alias("stripe"))
+
+
+def supported_stripes(stripes: DataFrame, min_support: int) -> DataFrame:
+    """Maps without the entries below a support; a map may become empty."""
+    return stripes.withColumn("stripe", F.map_filter("stripe", lambda _, n: n >= min_support))
+
+
+def normalised_stripes(stripes: DataFrame, word: str) -> DataFrame:
+    """Maps of counts as maps of shares of the word's total over all of its parts.
+
+    One number per part is shuffled for the totals.
+    """
+    part_sum = F.aggregate(F.map_values("stripe"), F.lit(0).cast("long"), lambda total, n: total + n)
+    totals = stripes.select(word, part_sum.alias("total")).groupBy(word).agg(F.sum("total").alias("total"))
+    shares = F.transform_values("stripe", lambda _, n: ratio(n, F.col("total")))
+    return stripes.join(totals, word).select(word, "part", shares.alias("stripe"))

@@ -72,3 +72,12 @@ def bigram_relfreq_stripes(lines: DataFrame, buckets: int = 1) -> DataFrame:
     """
     entries = _with_marginals(lines, buckets).select("w1", "part", "w2", ratio(F.col("n"), F.col("total")).alias("rf"))
     return collect_stripes(entries, "w1", "w2", "rf")
+
+
+def bigram_count_stripes(lines: DataFrame, buckets: int = 1) -> DataFrame:
+    """Counts as maps from second word to occurrences, in parts as above: ``w1, part, stripe``.
+
+    Unlike shares, they add up over corpora.
+    """
+    counts = bigram_counts(lines).withColumn("part", part_of(F.col("w2"), buckets))
+    return collect_stripes(counts, "w1", "w2", "n")

@@ -77,6 +77,18 @@ def pair_counts(
     )
 
 
+def pair_count_stripes(
+    lines: DataFrame, min_support: int = MIN_SUPPORT, max_tokens: int | None = MAX_TOKENS, buckets: int = 1
+) -> DataFrame:
+    """Pair counts as maps from partner to lines per word: ``word, part, stripe``.
+
+    Parts are those of ``pmi_stripes``. With ``min_support=1`` they add up over corpora.
+    """
+    counts = pair_counts(lines, min_support, max_tokens)
+    entries = counts.select(F.col("x").alias("word"), part_of(F.col("y"), buckets).alias("part"), "y", "n")
+    return collect_stripes(entries, "word", "y", "n")
+
+
 def pmi_pairs(
     lines: DataFrame, min_support: int = MIN_SUPPORT, max_tokens: int | None = MAX_TOKENS
 ) -> DataFrame:

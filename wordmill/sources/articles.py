@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wordmill.sources.checkpoints import materialise
+
 # The two tags.
 START_TAG = r"<doc[^>]*>"
 END_TAG = "</doc>"
@@ -44,70 +46,96 @@ def _with_blank(line: Column) -> Column:
     return F.concat(line["value"], F.lit(" "))
 
 
-def _count(tag: str) -> Column:
-    return F.count(F.when(F.col("tag") == tag, True))
+def fragments(lines: DataFrame) -> DataFrame:
+    """What each block alone says of its articles: one row per stretch of lines up to an end tag.
 
+    ``file, block, opened, ended, closed, earlier, text``: the stretch comes after ``opened`` start
+    tags and ``ended`` end tags of its block, and ``closed`` says whether an end tag of the block
+    follows its ``text``. ``earlier`` is the text of the stretches before it since the same start
+    tag, empty but for articles that are closed twice. Stretches that no start tag of their block
+    precedes are its head, those after its last start tag are its tail; all others are whole
+    articles or lost. The lines are read once and shuffled once.
+    """
+    tagged = _tagged(lines)
+    so_far = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_end = F.coalesce(F.col("tag") == "end", F.lit(False))
+    stretches = tagged.select(
+        "file",
+        "block",
+        F.count_if(F.col("tag") == "start").over(so_far).alias("opened"),
+        # An end tag belongs to the stretch it closes.
+        (F.count_if(F.col("tag") == "end").over(so_far) - is_end.cast("long")).alias("ended"),
+        is_end.alias("is_end"),
+        F.when(F.col("tag").isNull(), F.struct("pos", "value")).alias("line"),
+    )
+    folded = stretches.groupBy("file", "block", "opened", "ended").agg(
+        F.bool_or("is_end").alias("closed"),
+        F.array_join(F.transform(F.sort_array(F.collect_list("line")), _with_blank), "").alias("text"),
+    )
+    before = Window.partitionBy("file", "block", "opened").orderBy("ended").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.array_join(F.collect_list("text").over(before), "")
+    return folded.select("file", "block", "opened", "ended", "closed", earlier.alias("earlier"), "text")
+
+
+def _blocks(kept: DataFrame) -> DataFrame:
+    """Tags of each block and what the blocks before and after it say; one row per block.
 
-def _block_bounds(tagged: DataFrame) -> DataFrame:
-    """What each block needs to know of the rest of its file; one row per block."""
-    blocks = tagged.groupBy("file", "block").agg(
-        _count("start").alias("starts"),
-        _count("end").alias("ends"),
-        F.min_by("tag", F.when(F.col("tag").isNotNull(), F.col("pos"))).alias("first_tag"),
+    Sums of tags and the first tag that follows are all that blocks have to tell each other, so
+    one short row per block goes through the windows over a file.
+    """
+    head_closed = F.bool_or((F.col("opened") == 0) & (F.col("ended") == 0) & F.col("closed"))
+    blocks = kept.groupBy("file", "block").agg(
+        F.max("opened").alias("starts"), F.count_if("closed").alias("ends"), head_closed.alias("head_closed")
     )
+    first_tag = F.when(F.col("head_closed"), F.lit("end")).when(F.col("starts") > 0, F.lit("start"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("file").orderBy(F.desc("block"))
-    after = after.rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("file").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     return blocks.select(
         "file",
         "block",
+        "starts",
         F.coalesce(F.sum("starts").over(before), F.lit(0)).alias("starts_before"),
         F.coalesce(F.sum("ends").over(before), F.lit(0)).alias("ends_before"),
-        F.last("first_tag", ignorenulls=True).over(after).alias("tag_after"),
+        F.last(first_tag, ignorenulls=True).over(after).alias("tag_after"),
     )
 
 
-def assemble_articles(lines: DataFrame) -> DataFrame:
-    """Articles of numbered lines ``file, block, pos, value``: ``file, article_no, article``.
+def merged_articles(kept: DataFrame) -> DataFrame:
+    """Articles of kept fragments: ``file, article_no, article``.
 
-    Running counts of tags say which article a line is in and whether a closing tag comes next.
-    They are taken per block and carried over with one row per block, so no task ever holds a
-    file; only lines that do come out are collected, one article at a time.
+    An article whose start and end tag lie in one block is ready; only heads and tails of blocks
+    that an article reaches across are shuffled, one article at a time.
     """
-    tagged = _tagged(lines)
-    forward = Window.partitionBy("file", "block").orderBy("pos")
-    forward = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    backward = Window.partitionBy("file", "block").orderBy(F.desc("pos"))
-    backward = backward.rowsBetween(Window.unboundedPreceding, -1)
-
-    next_tag = F.coalesce(F.col("next_in_block"), F.col("tag_after"))
-    is_end = F.coalesce(F.col("tag") == "end", F.lit(False))
-    wanted = (
-        tagged.withColumn("starts_in_block", _count("start").over(forward))
-        .withColumn("ends_in_block", _count("end").over(forward))
-        .withColumn("next_in_block", F.last("tag", ignorenulls=True).over(backward))
-        .join(_block_bounds(tagged), ["file", "block"])
-        .where(is_end | (F.col("tag").isNull() & (next_tag == "end")))
-        .select(
-            "file",
-            (F.col("starts_before") + F.col("starts_in_block")).alias("opened"),
-            # A line belongs to the next end tag, an end tag to itself.
-            (F.col("ends_before") + F.col("ends_in_block") + (~is_end).cast("int")).alias(
-                "article_no"
-            ),
-            F.when(~is_end, F.struct("block", "pos", "value")).alias("line"),
-        )
+    article_no = F.col("ends_before") + F.col("ended") + 1
+    placed = kept.join(_blocks(kept), ["file", "block"])
+    whole = placed.where((F.col("opened") > 0) & F.col("closed")).select(
+        "file", article_no.alias("article_no"), F.concat("earlier", "text").alias("article")
     )
+
+    goes_on = F.coalesce(F.col("tag_after") == "end", F.lit(False))
+    is_head = (F.col("opened") == 0) & (F.col("closed") | ((F.col("starts") == 0) & goes_on))
+    is_tail = (F.col("opened") > 0) & (F.col("opened") == F.col("starts")) & goes_on
     pieces = (
-        wanted.repartition("file", "opened")
-        .groupBy("file", "opened", "article_no")
-        .agg(F.sort_array(F.collect_list("line")).alias("lines"))
-        .withColumn("piece", F.array_join(F.transform("lines", _with_blank), ""))
+        placed.where(is_head | is_tail)
+        .groupBy("file", (F.col("starts_before") + F.col("opened")).alias("start_no"), article_no.alias("article_no"))
+        .agg(
+            F.sort_array(F.collect_list(F.struct("block", "text"))).alias("parts"),
+            F.bool_or((F.col("opened") == 0) & F.col("closed")).alias("shown"),
+        )
+        .withColumn("piece", F.array_join(F.col("parts.text"), ""))
     )
-    so_far = Window.partitionBy("file", "opened").orderBy("article_no")
-    so_far = so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    article = F.array_join(F.collect_list("piece").over(so_far), "")
-    return pieces.select("file", "article_no", article.alias("article"))
+    so_far = Window.partitionBy("file", "start_no").orderBy("article_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = pieces.withColumn("article", F.array_join(F.collect_list("piece").over(so_far), ""))
+    return whole.unionByName(joined.where("shown").select("file", "article_no", "article"))
+
+
+def assemble_articles(lines: DataFrame) -> DataFrame:
+    """Articles of numbered lines ``file, block, pos, value``: ``file, article_no, article``.
+
+    Each block is folded into fragments by itself, and fragments are kept. No task ever holds a
+    file; lines are collected one article at a time.
+    """
+    return merged_articles(materialise(fragments(lines), "fragments"))
 
 
 def read_articles(spark: SparkSession, path: str | list[str]) -> DataFrame:
