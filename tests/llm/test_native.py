@@ -1,7 +1,9 @@
 """Quality rules, personal data, sharding and mixing against their definitions."""
 
 import hashlib
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -102,8 +104,8 @@ def test_spans_are_those_of_the_plain_patterns(spark):
     rows = out.collect()
     assert Counter(tuple(r)[:6] for r in rows) == Counter(expected)
     by_id = {r.doc_id: r for r in rows}
-    # The checksum finds one account number; context lifts the first number, not the second.
-    assert [s for s in by_id[302].spans.split(",") if s[:4] in ("iban", "ssn:")] == ["iban:5:32", "ssn:70:81"]
+    # The checksum finds one account number; the context before both numbers lifts them.
+    assert [s for s in by_id[302].spans.split(",") if s[:4] in ("iban", "ssn:")] == ["iban:5:32", "ssn:70:81", "ssn:83:94"]
     assert by_id[101].spans == "" and pii.personal_data(cases.empty(spark)).isEmpty()
 
 
@@ -112,6 +114,32 @@ def test_long_runs_take_linear_time(spark):
     assert pii.personal_data(cases.documents(spark, long)).count() == 5
 
 
+def test_context_on_both_sides(spark):
+    far, number = "x" * 40, "123-45-6789"
+    texts = [
+        f"{number} is my ssn",  # after it
+        f"ssn {number}",
+        f"ssn {far} {number} {far} ssn",  # too far away
+        number,
+        f"{number} and {number}, social security",  # the words after the second are only its own
+    ]
+    rows = pii.personal_data(cases.documents(spark, list(enumerate(texts)))).collect()
+    spans = {r.doc_id: r.spans for r in rows}
+    assert spans == {0: "ssn:0:11", 1: "ssn:4:15", 2: "", 3: "", 4: "ssn:16:27"}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 9, 200_000])
+def test_very_many_matches_in_one_text(spark, n):
+    rng = random.Random(n)
+    text = "".join(f"{'é' * rng.randrange(4)}a{k}@b.c, " for k in range(n))
+    before = time.monotonic()
+    row = pii.personal_data(cases.documents(spark, [(1, text)])).first()
+    assert time.monotonic() - before < 60  # some 5 s where nothing else runs
+    spans = [m.span() for m in re.finditer(BASE[0][1], text)]
+    listed = ",".join(f"email:{a}:{b}" for a, b in spans)
+    assert row.n_email == n and row.base_sha256 == hashlib.sha256(listed.encode()).hexdigest() and row.spans == listed
+
+
 def shards_of(spark, found, shards=8):
     return sharding.shard(cases.documents(spark, found), shards).collect()
 

@@ -6,7 +6,7 @@ Patterns only start where a run of their characters starts and never give back w
 so they are linear in the length of the text; they match what the plain pattern would.
 
 Kinds with a contract of their own (``BASE``) are kept whenever they are valid. Others have to
-reach ``MIN_SCORE``: a checksum gives them most of it, words of the context before them the rest.
+reach ``MIN_SCORE``: a checksum gives them most of it, words of the context around them the rest.
 """
 
 from __future__ import annotations
@@ -72,7 +72,8 @@ class Kind:
 
     ``needs``: a character without which the pattern cannot match. ``score``: what a valid span
     has by itself; ``context`` is a pattern of words that add ``bonus`` when they stand within
-    ``CONTEXT_CHARS`` before it.
+    ``CONTEXT_CHARS`` before it, or as near after it and before the next match of its kind.
+    ``least`` is how long a match is at least.
     """
 
     name: str
@@ -82,6 +83,7 @@ class Kind:
     score: int = 100
     context: str | None = None
     bonus: int = 0
+    least: int = 1
 
 
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -97,40 +99,73 @@ ADDED = (
     Kind(
         "iban",
         r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]{4}+){2,7}+(?:\x20?+[A-Z0-9]{1,3}+)?+(?![A-Za-z0-9])",
-        _valid_iban, score=70, context=r"(?i)\b(?:iban|account|konto|compte|cuenta)\b", bonus=30,
+        _valid_iban, score=70, context=r"(?i)\b(?:iban|account|konto|compte|cuenta)\b", bonus=30, least=12,
     ),
     Kind(
         "ssn",
         r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-        _valid_ssn, "-", score=40, context=r"(?i)\b(?:ssn|social|security)\b", bonus=40,
+        _valid_ssn, "-", score=40, context=r"(?i)\b(?:ssn|social|security)\b", bonus=40, least=11,
     ),
 )
 KINDS = BASE + ADDED
 
 
-def _spans(text: Column, kind: Kind) -> Column:
-    """Valid matches of a kind: an array of structs ``start, end, score``, in order."""
-    empty = F.array().cast("array<struct<start:int,end:int,score:int>>")
-    pieces, found = F.split(text, kind.pattern), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    gaps = F.zip_with(pieces, found, lambda piece, m: F.struct(piece.alias("gap"), m.alias("m")))
-    first = F.struct(
-        F.lit(0).alias("end"), F.array().cast("array<struct<start:int,end:int,m:string,before:string>>").alias("all")
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often and how deep ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running_sums(numbers: Column) -> Column:
+    """Inclusive running sums of an array, by doubling: after k steps each is the sum of 2 ** k.
+
+    An array that grows by one number at a time would be copied for every number.
+    """
+    def add(sums: Column, k: Column) -> Column:
+        shift = F.least(F.pow(F.lit(2), k).cast("int"), F.size(sums))
+        behind = F.concat(F.array_repeat(F.lit(0), shift), F.slice(sums, F.lit(1), F.size(sums) - shift))
+        return F.zip_with(sums, behind, lambda a, b: a + b)
+
+    steps = F.ceil(F.log2(F.greatest(F.size(numbers), F.lit(2)))).cast("int")
+    return F.aggregate(F.sequence(F.lit(0), steps - 1), numbers, add)
+
+
+def _placed(text: Column, kind: Kind) -> Column:
+    """All matches of a kind with their offsets and whether its context is near, in order."""
+    cut = F.struct(
+        F.split(text, kind.pattern).alias("pieces"), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("found")
     )
 
-    def append(state, step):
-        start = state["end"] + F.length(step["gap"])
-        end = start + F.length(step["m"])
-        context = F.right(step["gap"], F.lit(CONTEXT_CHARS))
-        one = F.struct(start.alias("start"), end.alias("end"), step["m"].alias("m"), context.alias("before"))
-        return F.struct(end.alias("end"), F.array_append(state["all"], one).alias("all"))
+    def near(cut: Column, i: Column) -> Column:
+        if kind.context is None:
+            return F.lit(False)
+        # So many matches of the least length fill the characters that are looked at.
+        back = range(-(-CONTEXT_CHARS // kind.least), 0, -1)
+        earlier = [F.coalesce(F.get(cut[name], i - k), F.lit("")) for k in back for name in ("pieces", "found")]
+        before = F.right(F.concat(*earlier, F.get(cut["pieces"], i)), F.lit(CONTEXT_CHARS))
+        after = F.left(F.get(cut["pieces"], i + 1), F.lit(CONTEXT_CHARS))
+        return before.rlike(kind.context) | after.rlike(kind.context)
 
-    # The piece after the last match has no match beside it.
-    placed = F.aggregate(F.filter(gaps, lambda g: g["m"].isNotNull()), first, append, lambda s: s["all"])
+    def place(cut: Column, ends: Column) -> Column:
+        def one(m: Column, i: Column) -> Column:
+            end = F.get(ends, i)
+            return F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("m"), near(cut, i).alias("near"))
+
+        return F.transform(cut["found"], one)
+
+    def lengths(cut: Column) -> Column:
+        return F.transform(cut["found"], lambda m, i: F.length(F.get(cut["pieces"], i)) + F.length(m))
+
+    return _let(cut, lambda cut: _let(_running_sums(lengths(cut)), lambda ends: place(cut, ends)))
+
+
+def _spans(text: Column, kind: Kind) -> Column:
+    """Valid matches of a kind: an array of structs ``start, end, score``, in order."""
+    empty = F.array().cast("array<struct<start:int,end:int,score:int>>")
+    placed = _placed(text, kind)
     valid = placed if kind.valid is None else F.filter(placed, lambda s: kind.valid(s["m"]))
-    points = lambda s: F.lit(kind.score) if kind.context is None else F.lit(kind.score) + F.when(
-        s["before"].rlike(kind.context), kind.bonus
-    ).otherwise(0)
-    scored = F.transform(valid, lambda s: F.struct(s["start"], s["end"], points(s).alias("score")))
+
+    bonus = lambda s: F.when(s["near"], kind.bonus).otherwise(0)
+    scored = F.transform(valid, lambda s: F.struct(s["start"], s["end"], (F.lit(kind.score) + bonus(s)).alias("score")))
     kept = F.filter(scored, lambda s: s["score"] >= MIN_SCORE)
     cheap = text.rlike(kind.pattern) if kind.needs is None else F.contains(text, F.lit(kind.needs))
     return F.when(cheap, kept).otherwise(empty)
