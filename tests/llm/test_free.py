@@ -3,12 +3,14 @@
 import gzip
 import hashlib
 import json
+import math
 import random
 import re
 from collections import Counter
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -383,3 +385,34 @@ def test_long_documents_are_trained_on(spark):
     assert min(len(t) for _, t, _ in found) > 20_000
     labels = spark.createDataFrame([(i, y) for i, _, y in found], "doc_id long, toxic int")
     assert len(toxicity.train(cases.documents(spark, [(i, t) for i, t, _ in found]), labels)) > 1
+
+
+def test_a_score_is_the_noisy_or_of_its_sentences():
+    rng = random.Random(3)
+    for _ in range(50):
+        sums, bias = [rng.choice([0.0, rng.uniform(-4, 9)]) for _ in range(rng.randint(0, 12))], rng.uniform(-6, 0)
+        total, alone = toxicity.noisy_or(np.array(sums), bias)
+        weighed, clean = [x for x in sums if x], 1.0
+        for x in weighed:
+            clean *= 1 - 1 / (1 + math.exp(-(x + bias - math.log(len(weighed)))))
+        assert total == pytest.approx(1 - clean)
+        assert alone.tolist() == pytest.approx([1 / (1 + math.exp(-(x + bias))) if x else 0.0 for x in sums])
+
+
+def test_training_lowers_the_loss_of_the_score_it_is_judged_by():
+    """Loss of whole documents by the noisy-or, document by document, against worse models."""
+    found = toxic_corpus(4, 300)
+    texts, toxic = [t for _, t, _ in found], np.array([y == 1 for _, _, y in found])
+    weights, bias = toxicity.fit(texts, toxic, np.ones(len(texts)))
+
+    def loss(weights, bias):
+        total = 0.0
+        for text, y in zip(texts, toxic):
+            sums = [sum(weights.get(f, 0.0) for word in words for f in toxicity.features(word)) for _, _, words in toxicity.sentences(text)]
+            p = min(max(toxicity.noisy_or(np.array(sums), bias)[0], 1e-9), 1 - 1e-9)
+            total -= math.log(p if y else 1 - p)
+        return total / len(texts)
+
+    trained = loss(weights, bias)
+    assert trained < 0.1
+    assert trained < loss({}, bias) and trained < loss({f: -w for f, w in weights.items()}, bias) and trained < loss(weights, bias - 9)

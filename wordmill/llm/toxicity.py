@@ -1,11 +1,13 @@
 """Toxicity by multiple-instance learning: documents have labels, sentences get scores.
 
-A sentence's score is a logistic function of the weights of its words, and a document is toxic
-if any of its sentences is. Weights are trained from document labels alone, as the noisy-or of
-the sentences with a weighted word, 1 - prod(1 - s), since that reaches all of them. A document's
-score is that of its most toxic sentence: a noisy-or adds up small scores, so long clean
-documents would become toxic by their length. The sentence scores also say which sentences made
-the document toxic. A sentence without a weighted word scores 0.
+A document is toxic if any of its sentences is, so its score is the noisy-or of theirs,
+1 - prod(1 - s). A sentence's score is a logistic function of the weights of its words, a bias
+and the logarithm of how many sentences of the document have a weighted word at all: a sentence
+that is no worse than others then adds the less the more of them there are, and a clean document
+does not become toxic by its length. Weights and bias are trained from document labels alone, by
+the same score documents are judged by. A sentence without a weighted word scores 0.
+
+What a sentence would score as the only one of a document says whether it is an offending one.
 
 A word weighs what it weighs itself and what its beginnings of 3 to 8 letters weigh, so that
 forms of a word that the training documents don't have weigh something too.
@@ -120,9 +122,10 @@ def fit(texts: list[str], toxic: np.ndarray, weights: np.ndarray) -> tuple[dict[
     w, bias = np.zeros(len(number)), BIAS
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     starts = np.searchsorted(sentence_of, np.arange(len(kept)))
+    others = np.log(np.bincount(text_of_sentence)[text_of_sentence])
     for step in range(1, ROUNDS + 1):
         of_type = np.bincount(type_of, w[feature_of], len(types))
-        z = np.clip(np.add.reduceat(of_type[token], starts) + bias, -30, 30)
+        z = np.clip(np.add.reduceat(of_type[token], starts) + bias - others, -30, 30)
         s = 1 / (1 + np.exp(-z))
         clean = np.exp(-np.bincount(text_of_sentence, np.logaddexp(0, z), len(y)))  # no sentence toxic
         pull = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), 1.0) * share
@@ -149,7 +152,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str,
     usable = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     classes = materialise(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "classes")
     order = F.xxhash64("doc_id")
-    lengths = docs.groupBy("doc_id").agg(F.max(F.length(F.coalesce("text", F.lit("")))).alias("chars"))
+    lengths = docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("chars"))
+    lengths = lengths.join(classes, "doc_id", "left_semi").groupBy("doc_id").agg(F.max("chars").alias("chars"))
     known = materialise(classes.join(lengths, "doc_id").where(F.col("chars") <= SAMPLE_CHARS), "known")
     sizes = {row["toxic"]: row["n"] for row in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     picked = None
@@ -171,6 +175,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict[str,
     return {row["feature"]: row["weight"] for row in fitted.collect()} or {"": BIAS}
 
 
+def noisy_or(sums: np.ndarray, bias: float) -> tuple[float, np.ndarray]:
+    """The score of a document from its sentences' sums of weights, and theirs as the only ones."""
+    weighs = sums != 0
+    z = np.clip(sums[weighs] + bias, -30, 30)
+    alone = np.zeros(len(sums))
+    alone[weighs] = 1 / (1 + np.exp(-z))
+    clean = np.logaddexp(0, z - np.log(max(1, len(z)))).sum()
+    return float(-np.expm1(-clean)), alone
+
+
 def _scores(model):
     """Scores of batches of texts under a broadcast model."""
 
@@ -193,11 +207,9 @@ def _scores(model):
                 for start, end, words in sentences(text):
                     spans.append((start, end))
                     z.append(sum(map(weight, words)))
-                z = np.array(z)
-                z = np.where(z != 0, np.clip(z + bias, -30, 30), -np.inf)
-                s = np.exp(-np.logaddexp(0, -z))
-                scores.append(float(s.max(initial=0.0)))
-                located.append([{"start": a, "end": b, "score": float(x)} for (a, b), x in zip(spans, s) if x >= 0.5])
+                total, alone = noisy_or(np.array(z), bias)
+                scores.append(total)
+                located.append([{"start": a, "end": b, "score": float(x)} for (a, b), x in zip(spans, alone) if x >= 0.5])
             yield pd.DataFrame({"score": scores, "sentences": located})
 
     return F.pandas_udf(run, "score double, sentences array<struct<start:int,end:int,score:double>>")
