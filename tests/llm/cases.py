@@ -34,6 +34,8 @@ def rows(seed=1):
 
 # Columns of the caller that are named like things operators make on their way.
 EXTRA = ["n_words", "shard", "slot", "fp", "group", "w", "h", "score", "node", "uid", "kept", "source", "lang"]
+EXTRA += ["row", "no", "rows", "hash", "first_id", "text_hash", "__id", "__none", "__hash", "__rows", "__text_hash", "__no", "__doc_id"]
+EXTRA += ["__mix_place", "__mix_epoch", "__quality_w", "__quality_lines", "__quality_row", "__bucket", "item_id", "embedding"]
 
 
 def documents(spark, found=None):

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
+from llm import cases
 from llm.test_free import classes, reference_fingerprint
 from llm.test_native import measures
 from wordmill.llm import mixing, quality_rules
@@ -70,7 +71,15 @@ def test_stages_keep_the_columns_of_documents(spark, corpus):
             assert out.limit(0).count() == 0
 
 
+def test_stages_keep_columns_named_like_their_own(spark, corpus):
+    docs = cases.documents(spark, [(k, text) for k, text, *_ in corpus[1]])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, corpus[0])
+        assert out.dtypes == docs.dtypes and out.count() > 40
+        assert out.exceptAll(docs.union(docs).union(docs)).isEmpty()
+
+
 def test_all_queries_are_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11))
-    assert {name for name in __spark_entry__.oracle_sql() if name.startswith("op")} == {"op4_warc", "op6_substring_dedup", "op8_mixing"}
+    assert "pipeline" in names and all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14))
+    assert {name for name in __spark_entry__.oracle_sql() if name.startswith("op")} == {"op4_warc", "op6_substring_dedup", "op8_mixing", "op13_hard_negatives"}

@@ -43,6 +43,15 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def aside(docs: DataFrame, *read: str) -> DataFrame:
+    """Rows packed whole as ``row``, beside the columns an operator reads.
+
+    Columns that an operator adds on its way cannot clash with the caller's, whatever their
+    names; ``select("row.*")`` brings those back as they were.
+    """
+    return docs.select(F.struct("*").alias("row"), *read)
+
+
 def numbered(df: DataFrame, keys: list[str], order: list[Column], spread: Column, rows: int, name: str) -> DataFrame:
     """Number the rows of each key from 0 without a gap, as the new long column ``name``.
 

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordmill.llm.common import aside
 from wordmill.sources.checkpoints import materialise
 
 SEED_WORDS = 3
@@ -42,8 +43,11 @@ def _runs(w: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """With a key of doc_id and text; rows that agree in both are alike to this operator."""
-    return docs.withColumns({"__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull(), "__hash": F.xxhash64("text")})
+    """Whole rows as ``row``, their text and a key of doc_id and text.
+
+    Rows that agree in the key are alike to this operator.
+    """
+    return aside(docs, "doc_id", "text").withColumns({"__id": F.coalesce("doc_id", F.lit(0)), "__none": F.col("doc_id").isNull(), "__hash": F.xxhash64("text")})
 
 
 _KEY = ["__id", "__none", "__hash"]
@@ -146,6 +150,6 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with all their columns as they were."""
+    """The rows of ``docs`` that hold no test item, with all their columns as they were, whatever their names."""
     leaked = materialise(_matches(docs, items).select(*_KEY).distinct(), "leaked")
-    return _keyed(docs).join(leaked, _KEY, "left_anti").select(*docs.columns)
+    return _keyed(docs).join(leaked, _KEY, "left_anti").select("row.*")

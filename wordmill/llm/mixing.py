@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import words
+from wordmill.llm.common import aside, words
 from wordmill.sources.checkpoints import materialise
 
 MAX_REPEATS = 2.0
@@ -170,13 +170,13 @@ def mixture(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, max_entrop
 
 
 def mix(docs: DataFrame, max_repeats: float | None = MAX_REPEATS, max_entropy: float | None = None) -> DataFrame:
-    """The rows of ``docs``, each as often as it is shown, with all their columns as they were."""
+    """The rows of ``docs``, each as often as it is shown, with all their columns as they were, whatever their names."""
     counted = materialise(_tokens(docs), "tokens")
     sources = source_tokens(counted)
     plan = mixing_plan(sources, find_exponent(sources, max_repeats, max_entropy))
     blocks = max(1, -(-counted.count() // ROWS_PER_BLOCK))
     tokens = F.size(words(F.col("text"))).cast("long")
-    return _realised(docs, counted, plan, tokens, blocks).select(*docs.columns)
+    return _realised(aside(docs, "doc_id", "source", "text"), counted, plan, tokens, blocks).select("row.*")
 
 
 SQL = f"""

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import WORD, words
+from wordmill.llm.common import aside, WORD, words
 
 # Symbols, shortest text in words, largest share of repeated words in percent.
 SYMBOLS = "#*$%&|<>"
@@ -157,12 +157,12 @@ def quality(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` no rule rejects, with all their columns as they were."""
+    """The rows of ``docs`` no rule rejects, with all their columns as they were, whatever their names."""
     own = "__quality_"
     broken = F.lit(False)
     for rule in BASE_RULES + RULES:
         broken = broken | rule.broken(own)
     # The row number keeps the filter above the measures. Pushed below them it would work out
     # every measure again for every rule, and a text's words again for every word.
-    m = measured(docs, prefix=own).select("*", F.monotonically_increasing_id().alias(own + "row"))
-    return m.where(~broken & (F.col(own + "row") >= 0)).select(*docs.columns)
+    m = measured(aside(docs, "text"), prefix=own).select("*", F.monotonically_increasing_id().alias(own + "row"))
+    return m.where(~broken & (F.col(own + "row") >= 0)).select("row.*")

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from wordmill.llm.common import aside
 from wordmill.llm.components import components
 from wordmill.sources.checkpoints import materialise
 
@@ -208,22 +209,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of each component, that with the least doc_id, with all its columns as they were.
 
-    Of rows that agree in doc_id and text one stays.
+    Of rows that agree in doc_id and text one stays. Columns may have any names.
     """
     prints = fingerprints(docs.select("doc_id", "text"))
     # Rows without doc_id come after all others.
     who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    groups = _groups(prints, who).select(F.col("first.doc_id").alias("__doc_id"), F.col("first.text_hash").alias("__hash")).distinct()
-    rows = prints.groupBy("doc_id", "text_hash").agg(F.count("*").alias("__rows"))
-    same = rows["doc_id"].eqNullSafe(F.col("__doc_id")) & (rows["text_hash"] == F.col("__hash"))
-    chosen = materialise(groups.join(rows, same).select("__doc_id", "__hash", "__rows"), "chosen")
-    marked = docs.withColumn("__text_hash", F.xxhash64("text"))
-    found = marked.join(chosen, marked["doc_id"].eqNullSafe(F.col("__doc_id")) & (F.col("__text_hash") == F.col("__hash")))
-    once = found.where("__rows = 1").select(*docs.columns)
-    if chosen.where("__rows > 1").isEmpty():
+    groups = _groups(prints, who).select(F.col("first.doc_id").alias("first_id"), F.col("first.text_hash").alias("first_hash")).distinct()
+    rows = prints.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows"))
+    same = rows["doc_id"].eqNullSafe(F.col("first_id")) & (rows["text_hash"] == F.col("first_hash"))
+    chosen = materialise(groups.join(rows, same).select("first_id", "first_hash", "rows"), "chosen")
+    marked = aside(docs, "doc_id", "text").select("row", "doc_id", F.xxhash64("text").alias("hash"))
+    found = marked.join(chosen, marked["doc_id"].eqNullSafe(F.col("first_id")) & (F.col("hash") == F.col("first_hash")))
+    once = found.where("rows = 1").select("row.*")
+    if chosen.where("rows > 1").isEmpty():
         return once
-    order = F.to_json(F.struct(*docs.columns))
-    repeated = found.where("__rows > 1").withColumn(
-        "__no", F.row_number().over(Window.partitionBy("__doc_id", "__hash").orderBy(order))
-    )
-    return once.unionByName(repeated.where("__no = 1").select(*docs.columns))
+    order = Window.partitionBy("first_id", "first_hash").orderBy(F.to_json("row"))
+    repeated = found.where("rows > 1").withColumn("no", F.row_number().over(order))
+    return once.unionByName(repeated.where("no = 1").select("row.*"))
