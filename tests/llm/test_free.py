@@ -416,3 +416,13 @@ def test_training_lowers_the_loss_of_the_score_it_is_judged_by():
     trained = loss(weights, bias)
     assert trained < 0.1
     assert trained < loss({}, bias) and trained < loss({f: -w for f, w in weights.items()}, bias) and trained < loss(weights, bias - 9)
+
+
+def test_long_excerpts_of_longer_items(spark):
+    rng = random.Random(21)
+    item = [f"i{k}" for k in range(400)]
+    around = lambda part: " ".join([*cases.words(rng, 60), *part, *cases.words(rng, 60)])
+    found = [(1, around(item[100:170])), (2, around(item[200:240])), (3, around(item)), (4, around([]))]
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    rows = decontamination.contaminated(cases.documents(spark, found), items).collect()
+    assert {(r.doc_id, r.item_id, r.score) for r in rows} == {(1, 7, 0.175), (3, 7, 1.0)}

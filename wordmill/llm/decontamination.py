@@ -5,7 +5,8 @@ the items, however many documents hold a run: a single frequent run tells nothin
 different ones on nearly the same diagonal do. They open a region of the document some four
 times as long as the item, and Smith-Waterman aligns the two word by word.
 The score is the share of the best possible one: 1 for a copy, less for every word that was
-replaced, left out or put in.
+replaced, left out or put in. A document is reported from a score of ``MIN_SCORE``, or from an
+alignment worth ``EXCERPT_WORDS`` equal words, as an excerpt of a long item is.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from wordmill.sources.checkpoints import materialise
 
 SEED_WORDS = 3
 MIN_SEEDS = 2
-MIN_ITEM_WORDS = 5  # shorter items are found in any text and are not searched for
+MIN_ITEM_WORDS = 5  # shorter items stand in any text by chance and are not searched for
 MIN_SCORE = 0.4
+EXCERPT_WORDS = 50  # an alignment worth as many equal words is reported however long its item is
 BROADCAST_SEEDS = 1 << 20  # up to so many runs of items, of 8 bytes each, go to every executor
 
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -115,11 +117,12 @@ def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = rows[[*_KEY, "item_id"]].copy()
         out["score"] = [score for score, _ in scored]
         out["ends_at"] = [start + end for start, (_, end) in zip(rows["from"], scored)]
-        yield out[out["score"] >= MIN_SCORE]
+        words = out["score"] * rows["w"].map(len)
+        yield out[(out["score"] >= MIN_SCORE) | (words >= EXCERPT_WORDS - 1e-9)]
 
 
 def _matches(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Key, ``item_id, score, ends_at``; one row per aligned region that reaches the score."""
+    """Key, ``item_id, score, ends_at``; one row per aligned region that reaches the score or the words."""
     known = _items(items)
     each = known.select("item_id", "n", F.posexplode(_runs(F.col("w"))).alias("at", "run"))
     # A run that an item repeats counts where it comes first.
