@@ -57,6 +57,15 @@ def test_measures_and_verdicts(spark):
     assert all(not (r.kept and r.base_failed) for r in out.collect())
 
 
+def test_verdicts_are_those_of_the_sql(spark):
+    found = cases.rows() + JUNK
+    out = quality_rules.quality(cases.documents(spark, found)).withColumn("broken", F.concat_ws(",", "broken"))
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", found)
+    assert Counter(map(tuple, out.collect())) == Counter(connection.sql(quality_rules.SQL).fetchall())
+
+
 def test_kept_rows_are_as_they_were(spark):
     docs = cases.documents(spark, cases.rows() + JUNK)
     kept = quality_rules.keep_good(docs)

@@ -166,3 +166,45 @@ def keep_good(docs: DataFrame) -> DataFrame:
     # every measure again for every rule, and a text's words again for every word.
     m = measured(aside(docs, "text"), prefix=own).select("*", F.monotonically_increasing_id().alias(own + "row"))
     return m.where(~broken & (F.col(own + "row") >= 0)).select("row.*")
+
+
+# The measures and rules of ``quality`` by their definitions, ``broken`` joined by commas.
+SQL = r"""
+WITH texts AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents),
+numbered AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS i FROM texts),
+windows AS (
+    SELECT r, i, word || ' ' || lead(word) OVER later || ' ' || lead(word, 2) OVER later AS g
+    FROM numbered WINDOW later AS (PARTITION BY r ORDER BY i)),
+counted AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS found FROM windows WHERE g IS NOT NULL),
+repeated AS (
+    SELECT r, count(DISTINCT i + o) AS n_repeat_words
+    FROM counted, (VALUES (0), (1), (2)) AS offsets(o) WHERE found > 1 GROUP BY r),
+stop_words AS (
+    SELECT r, count(*) AS n_stop_words FROM numbered WHERE word IN (%s) GROUP BY r),
+measures AS (
+    SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+           length(regexp_replace(t, '[^#*$%%&|<>]', '', 'g')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words,
+           len(lines) AS n_lines, coalesce(n_stop_words, 0) AS n_stop_words
+    FROM texts LEFT JOIN repeated USING (r) LEFT JOIN stop_words USING (r)),
+judged AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           concat_ws(',',
+               CASE WHEN n_words < 50 THEN 'too_short' END,
+               CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 'repeats' END,
+               CASE WHEN word_chars < 2 * n_words THEN 'words_too_short' END,
+               CASE WHEN word_chars > 20 * n_words THEN 'words_too_long' END,
+               CASE WHEN 100 * n_symbols > 20 * n_words THEN 'symbols' END,
+               CASE WHEN 100 * n_stop_words < 5 * n_words THEN 'no_stop_words' END,
+               CASE WHEN 100 * n_dup_lines > 50 * n_lines THEN 'same_lines' END) AS broken
+    FROM measures)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       broken = '' AS kept, n_lines, n_stop_words, broken
+FROM judged
+""" % ", ".join(f"'{word}'" for word in sorted(set(STOP_WORDS)))

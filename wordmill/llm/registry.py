@@ -51,7 +51,8 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality(documents(spark, sf_dir))
+    judged = quality_rules.quality(documents(spark, sf_dir))
+    return judged.withColumn("broken", F.concat_ws(",", "broken"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,6 +105,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_warc": warc.SQL,
         "op6_substring_dedup": substring_dedup.SQL,
+        "op7_quality_rules": quality_rules.SQL,
         "op8_mixing": mixing.SQL,
         "op13_hard_negatives": hard_negatives.SQL,
     }
