@@ -6,6 +6,7 @@ import json
 import math
 import random
 import re
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -292,6 +293,69 @@ def test_text_beside_the_region_stays(spark):
     assert out == {k: split(k)[1] for k in range(6)}
 
 
+def test_wrappers_decide_without_telling_names(spark):
+    def untold(k):
+        own = f"<h1>Title {k}</h1><p>{f'Own text {k} of this page. ' * 50}</p><p>{k} ends it</p>"
+        extra = f"<div><p>Only on some {k}</p></div>" if k % 3 else ""
+        return (
+            f'<body><div><span>The daily page</span></div><div><div><a href="/a">A{k}</a> <a href="/b">B</a></div></div>'
+            f"<div>{own}{extra}<p>Write to the editor</p></div><div><p>{'All rights are with us. ' * 40}</p></div></body>"
+        )
+
+    def told(k):
+        return f"<article><h2>Title {k}</h2><p>Tell your friends</p><p>Own text {k} of this page</p></article><p>Beside {k}</p>"
+
+    rows = [(k, "https://a.example/", untold(k)) for k in range(12)] + [(k, "https://b.example/", told(k)) for k in range(20, 28)]
+    right = {k: f"Title {k}\n{(f'Own text {k} of this page. ' * 50).strip()}\n{k} ends it" + (f"\nOnly on some {k}" if k % 3 else "") for k in range(12)}
+    right |= {k: f"Title {k}\nOwn text {k} of this page" for k in range(20, 28)}
+    out = {r.page_id: r.text for r in html_extraction.main_text(pages_table(spark, rows)).collect()}
+    assert out == right
+    assert all(html_extraction.extract(html) != right[k] for k, _, html in rows)
+
+
+def test_wrappers_grow_with_places_not_with_pages():
+    chosen = random.Random(5)
+    kinds = ["<div><p>a{}</p></div>", "<div>b{}</div>", "<h2>c{}</h2>", "<div><ul><li>{}<li>y</ul><p>t</div>", "<section><div><p>{}</section>", '<div class="x{}"><p>w</div>']
+
+    def varied(rows):
+        return html_extraction.parse("<body>" + "".join(chosen.choice(kinds).format(chosen.randrange(10**6)) for _ in range(rows)))
+
+    wrapper, sizes = html_extraction.Wrapper(), []
+    for _ in range(3):
+        for _ in range(300):
+            wrapper.add_page(*varied(30))
+        sizes.append(len(list(wrapper.root.walk())))
+    assert sizes[2] == sizes[0] < 50
+    long, start = html_extraction.Wrapper(), time.perf_counter()
+    for _ in range(2):
+        long.add_page(*varied(20_000))
+    assert time.perf_counter() - start < 30 and len(list(long.root.walk())) < 50
+    deep = "<div>" * 50_000 + "x"
+    assert html_extraction.extract(deep) == "x"
+    long.add_page(*html_extraction.parse(deep))
+    assert html_extraction.Wrapper.load(long.dump()).dump() == long.dump()
+
+
+def test_alignment_keeps_the_longest_common_run():
+    def longest(a, b):
+        if not a or not b:
+            return 0
+        return max(longest(a[1:], b), longest(a, b[1:]), 1 + longest(a[1:], b[1:]) if a[0] == b[0] else 0)
+
+    def within(keys, places):
+        rest = iter(places)
+        return all(any(place.key == key for place in rest) for key in keys)
+
+    chosen = random.Random(6)
+    for _ in range(300):
+        a, b = ([chosen.choice("uvwx") for _ in range(chosen.randrange(6))] for _ in range(2))
+        whole = html_extraction.Place("div", inner=map(html_extraction.Place, a))
+        whole.take(html_extraction.Place("div", inner=map(html_extraction.Place, b)))
+        assert len(whole.inner) == len(a) + len(b) - longest(a, b)
+        assert within(a, whole.inner) and within(b, whole.inner)
+        assert sum(not place.optional for place in whole.inner) == longest(a, b)
+
+
 def test_wrappers_are_regular_expressions():
     wrapper = html_extraction.Wrapper()
     for text in ("<div>Hello</div><p>a<p>b", "<div>Hello</div><hr><p>c", "<div>Hello</div><ul><li>x<li>y</ul><p>d"):
