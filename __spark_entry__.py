@@ -273,7 +273,8 @@ def bigram_stripes_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sorted_counts_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts written in key order to four files, over an earlier output, and read back.
 
-    ``after`` is whether a line is not before the one above it in its file.
+    ``after`` is whether a line is not before the one above it in its file, ``files`` how many
+    part files there are.
     """
     path = kept_path(spark, "sorted")
     counts = sinks.render_counts(word_count(spark, sf_dir))
@@ -281,7 +282,8 @@ def sorted_counts_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_text(counts, path, num_partitions=4, sort=True)
     lines = read_lines(spark, path).select("value", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("at"))
     above = F.lag("value").over(Window.partitionBy("file").orderBy("at"))
-    return lines.select("value", F.coalesce(F.col("value") >= above, F.lit(True)).alias("after"))
+    files = lines.agg(F.count_distinct("file").alias("files")).scalar()
+    return lines.select("value", F.coalesce(F.col("value") >= above, F.lit(True)).alias("after"), files.alias("files"))
 
 
 def bigram_relfreq_pairs_talk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -587,7 +589,7 @@ def _oracle_sql() -> dict[str, str]:
           SELECT '(' || w1 || ', ' || w2 || ')' || chr(9) || count(*) AS value FROM bigrams GROUP BY w1, w2""",
         "bigram_stripes_text": f"WITH {_sql_bigrams()} {_SHARES}",
         "sorted_counts_files": f"""WITH {_sql_words()}
-          SELECT word || chr(9) || n AS value, true AS after FROM ({_WORD_COUNT})""",
+          SELECT word || chr(9) || n AS value, true AS after, CAST(4 AS BIGINT) AS files FROM ({_WORD_COUNT})""",
         "articles_malformed": f"""WITH {_sql_lines('doc_id', 'documents')}, texts AS (
             SELECT CAST(doc_id AS VARCHAR) AS file, {closed} AS article FROM documents WHERE text IS NOT NULL
           )
