@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 import model
 import wordmill as W
 from test_pmi import random_lines
@@ -95,3 +96,26 @@ def test_support_is_applied_to_merged_maps(corpus, buckets):
     rows = W.supported_stripes(merged, 5).select("word", F.explode("stripe").alias("y", "n")).collect()
     expected = {(r.x, r.y): r.n for r in W.pair_counts(corpus(one + two), 5).collect()}
     assert {(r.word, r.y): r.n for r in rows} == expected
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_word_sets_made_apart_add_up_before_any_pair_is_made(corpus, broadcast_bytes):
+    one, two = halves()
+    merged = W.merge_word_sets([W.count_word_sets(corpus(h)) for h in (one, two)])
+    counts = W.count_pairs(merged, 5, broadcast_bytes)
+    assert pair_rows(W.pairs_from_counts(counts)) == pair_rows(W.pmi_pairs(corpus(one + two), 5))
+    rows = W.pair_stripes_from_counts(counts, 4).select("word", F.explode("stripe").alias("y", "n")).collect()
+    assert {(r.word, r.y): r.n for r in rows} == {(r.x, r.y): r.n for r in W.pair_counts(corpus(one + two), 5).collect()}
+    with pytest.raises(ValueError, match="caps"):
+        W.merge_word_sets([merged, W.count_word_sets(corpus(one), max_tokens=None)])
+
+
+def test_merged_queries_keep_no_pairs(spark, tmp_path, monkeypatch):
+    one, two = halves()
+    spark.createDataFrame(enumerate(one), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(enumerate(two), "conv_id long, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    written = []
+    monkeypatch.setattr(intermediate, "write_counts", lambda counts, path: written.append(path))
+    pairs = __spark_entry__.pmi_pairs_merged(spark, str(tmp_path)).select("x", "y", "n_xy").collect()
+    maps = __spark_entry__.pair_stripes_merged(spark, str(tmp_path)).select("word", "partner", "n").collect()
+    assert sorted(map(tuple, pairs)) == sorted(map(tuple, maps)) and pairs and not written

@@ -5,8 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 import wordmill as W
 from test_pmi import random_lines
+from wordmill.operators import cooccurrence
 from wordmill.operators.cooccurrence import count_cooccurrence, dictionary, word_sets
 from wordmill.plans.pmi import pairs_from_counts, stripes_from_counts
 from wordmill.sources import intermediate
@@ -150,3 +152,34 @@ def test_ready_maps_are_merged_whole(corpus):
     text = plan(W.merge_stripes(*made, "w1"))
     after = text[: text.index("FullOuter")]
     assert "Generate" not in after and "Exchange" not in after
+
+
+def test_map_tasks_count_the_pairs_of_a_bounded_number_of_words(corpus, monkeypatch):
+    lines = corpus(random_lines())
+    expected = sorted(map(tuple, count_cooccurrence(lines, 5).pairs.collect()))
+    monkeypatch.setattr(cooccurrence, "REPEATED_WORDS", 3)
+    numbers = cooccurrence.numbered(cooccurrence.supported_words(dictionary(word_sets(lines, 100)), 5))
+    rows = numbers.orderBy("n", "word").collect()
+    assert [r.id for r in rows] == list(range(len(rows))) and dict(numbers.dtypes)["id"] == "int"
+    assert cooccurrence._first_repeated(numbers, 1) == (len(rows) - 3, True)
+    assert cooccurrence._first_repeated(numbers, 10**6) == (len(rows), False)
+    assert sorted(map(tuple, count_cooccurrence(lines, 5, frequent_lines=1).pairs.collect())) == expected
+
+
+def test_pairs_are_counted_in_as_many_tasks_as_there_are_pairs_for(corpus, monkeypatch):
+    lines = corpus(random_lines())
+    expected = sorted(map(tuple, count_cooccurrence(lines, 5).pairs.collect()))
+    monkeypatch.setattr(cooccurrence, "PAIRS_PER_TASK", 100)
+    pairs = count_cooccurrence(lines, 5).pairs
+    wide = [int(n) for n in re.findall(r"hashpartitioning\(x[^)]*?, (\d+)\)", plan(pairs))]
+    assert max(wide) > 10 and sorted(map(tuple, pairs.collect())) == expected
+
+
+def test_a_written_map_is_parsed_once_per_line(spark, tmp_path):
+    rows = list(enumerate(random_lines()))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    result = __spark_entry__.bigram_stripes_text(spark, str(tmp_path))
+    after, before = plan(result).split("Generate explode", 1)
+    assert "value" not in after and "from_json" in before
+    shares = __spark_entry__.bigram_relfreq_pairs(spark, str(tmp_path))
+    assert sorted(map(tuple, result.collect())) == sorted(map(tuple, shares.collect()))

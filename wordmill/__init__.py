@@ -1,6 +1,6 @@
 """Corpus statistics as Spark DataFrame jobs: word counts, PMI, bigrams, articles."""
 
-from wordmill.operators.cooccurrence import count_cooccurrence, merge_counts
+from wordmill.operators.cooccurrence import count_cooccurrence, count_pairs, count_word_sets, merge_counts, merge_word_sets
 from wordmill.operators.counts import line_frequency, line_total, word_count
 from wordmill.operators.lines import split_lines
 from wordmill.operators.stripes import merge_stripes, normalised_stripes, supported_stripes
@@ -15,6 +15,7 @@ from wordmill.plans.bigrams import (
 from wordmill.plans.pmi import (
     pair_count_stripes,
     pair_counts,
+    pair_stripes_from_counts,
     pairs_from_counts,
     pmi_pairs,
     pmi_ranked,
@@ -31,13 +32,17 @@ __all__ = [
     "bigram_relfreq_pairs",
     "bigram_relfreq_stripes",
     "count_cooccurrence",
+    "count_pairs",
+    "count_word_sets",
     "line_frequency",
     "line_total",
     "merge_counts",
     "merge_stripes",
+    "merge_word_sets",
     "normalised_stripes",
     "pair_count_stripes",
     "pair_counts",
+    "pair_stripes_from_counts",
     "pairs_from_counts",
     "pmi_pairs",
     "pmi_ranked",
