@@ -490,3 +490,16 @@ def test_long_excerpts_of_longer_items(spark):
     items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
     rows = decontamination.contaminated(cases.documents(spark, found), items).collect()
     assert {(r.doc_id, r.item_id, r.score) for r in rows} == {(1, 7, 0.175), (3, 7, 1.0)}
+
+
+def test_template_counts_come_from_all_pages_of_a_host(spark):
+    # The shares of two texts in 120 different pages are just over and just under a half.
+    rows = []
+    for k in range(120):
+        notes = ["Most pages say this."] if k < 61 else []
+        notes += ["Fewer pages say this."] if k < 59 else []
+        body = "".join(f"<p>{note}</p>" for note in notes)
+        rows.append((k, "http://h/x", f"<article><h1>Title {k}</h1><div>{f'Words of page {k}. ' * 20}</div>{body}</article>"))
+    out = {r.page_id: r.text for r in html_extraction.main_text(pages_table(spark, rows)).collect()}
+    assert not any("Most pages" in text for text in out.values())
+    assert [k for k in sorted(out) if "Fewer pages" in out[k]] == list(range(59))

@@ -7,7 +7,8 @@ where one has elements that the other has not, they become optional; elements al
 become a repeated group, and where more than ``ROW`` unlike ones stand side by side, or alike ones
 come again later, all of them become one repeated group of optional elements. Text that most
 different pages have in one place is template, places that hold mostly links are menus, and what
-the slots of a place hold in all pages together says where the content is.
+the slots of a place hold in all pages together says where the content is. How many different pages
+have a text or a place is counted by Spark over all pages of the host.
 
 A list of elements is at most twice ``ROW`` long or has every key once, so two wrappers are aligned
 in time linear in their size, and a wrapper grows with the places of a host, not with its pages.
@@ -36,12 +37,12 @@ from wordmill.sources.checkpoints import materialise
 
 MIN_PAGES = 4  # pages of different main text that have to agree in a text before it counts as template
 MIN_SHARE = 0.5  # and their share of all such pages of the host
-SAMPLED = 32  # main texts of a host, those of least hash, by which pages are told apart and shares are estimated
 ROW = 12  # more elements side by side than this are a group
 KEYS = 64  # and a group of more classes than this goes by tags alone
 DEPTH = 48  # elements further in share the place of the one around them
 FAN_IN = 64
 HOSTS_PER_TASK = 2000  # wrappers a task holds before it sends them on
+_FOUND = {"host": "object", "wrapper": "object", "path": "object", "text": "Int64", "main": "Int64"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -231,39 +232,37 @@ def _marked(blocks: list[Block]) -> list[Block]:
 def _main_hash(blocks: list[Block]) -> int:
     """A number that copies of a page share, whatever stands around their main text."""
     text = "\n".join(b.text for b in _marked(blocks))
-    return int.from_bytes(hashlib.blake2b(text.encode(errors="surrogatepass"), digest_size=8).digest())
+    return int.from_bytes(hashlib.blake2b(text.encode(errors="surrogatepass"), digest_size=8).digest(), signed=True)
 
 
 def _digest(path: str, text: str) -> int:
     whole = f"{path}\n{text}".encode(errors="surrogatepass")
-    return int.from_bytes(hashlib.blake2b(whole, digest_size=8).digest())
+    return int.from_bytes(hashlib.blake2b(whole, digest_size=8).digest(), signed=True)
 
 
 class Place:
     """An element or text of the wrapper, with the elements in it.
 
     ``repeated`` and ``optional`` are as in regular expressions; in a ``group`` the elements inside
-    come in any order and number. ``texts`` says which of the sampled pages, by the hash of their
-    main text, have a text here, and ``met`` which have the place at all. ``chars`` of text were
-    seen in all pages, ``linked`` of them in blocks that are mostly links. ``shown`` is the first
-    text, for people.
+    come in any order and number. ``text`` is the digest of the only text seen here, and ``varies``
+    says that there were others. ``chars`` of text were seen in all pages, ``linked`` of them in
+    blocks that are mostly links. ``shown`` is the first text, for people.
     """
 
-    __slots__ = ("key", "repeated", "optional", "group", "shown", "texts", "chars", "linked", "met", "inner")
+    __slots__ = ("key", "repeated", "optional", "group", "shown", "text", "varies", "chars", "linked", "inner")
 
-    def __init__(self, key, repeated=False, optional=False, group=False, shown="", texts=None, chars=0, linked=0, met=(), inner=()):
+    def __init__(self, key, repeated=False, optional=False, group=False, shown="", text=None, varies=False, chars=0, linked=0, inner=()):
         self.key, self.repeated, self.optional, self.group, self.shown = key, repeated, optional, group, shown
-        self.texts, self.chars, self.linked, self.met, self.inner = texts or {}, chars, linked, set(met), list(inner)
+        self.text, self.varies, self.chars, self.linked, self.inner = text, varies, chars, linked, list(inner)
 
-    def dump(self, sample: set[int]) -> list:
-        texts = {text: sorted(met & sample) for text, met in self.texts.items() if met & sample}
-        inner = [place.dump(sample) for place in self.inner]
-        return [self.key, self.repeated, self.optional, self.group, self.shown, sorted(texts.items()), self.chars, self.linked, sorted(self.met & sample), inner]
+    def dump(self) -> list:
+        inner = [place.dump() for place in self.inner]
+        return [self.key, self.repeated, self.optional, self.group, self.shown, self.text, self.varies, self.chars, self.linked, inner]
 
     @classmethod
     def load(cls, dumped: list) -> Place:
-        *head, texts, chars, linked, met, inner = dumped
-        return cls(*head, {text: set(pages) for text, pages in texts}, chars, linked, met, map(cls.load, inner))
+        *head, inner = dumped
+        return cls(*head, map(cls.load, inner))
 
     def take(self, other: Place):
         """Be the place of what ``other`` is the place of, too."""
@@ -271,9 +270,8 @@ class Place:
         self.optional |= other.optional
         self.chars += other.chars
         self.linked += other.linked
-        self.met |= other.met
-        for text, met in other.texts.items():
-            self.texts[text] = self.texts[text] | met if text in self.texts else met
+        # Where one has a text and the other none, its block was dropped there.
+        self.varies |= other.varies or self.text != other.text
         self._align(other)
 
     def _align(self, other: Place):
@@ -346,9 +344,8 @@ class Place:
 
     def tokens(self, optional: bool = False) -> list[str]:
         optional = optional or self.optional
-        common = [text for text, met in self.texts.items() if self.met and met >= self.met]
         if self.key == "#":
-            token = json.dumps(self.shown, ensure_ascii=False) if self.shown and len(common) == len(self.texts) == 1 else "#"
+            token = json.dumps(self.shown, ensure_ascii=False) if self.shown and not self.varies else "#"
         elif self.key.split(".")[0] in LEAVES and [inner.key for inner in self.inner] == ["#"]:
             token = f"({self.key} # /{self.key})"
         elif self.repeated or self.group:
@@ -370,19 +367,12 @@ class Place:
 
 
 class Wrapper:
-    """A host's expression, from ``pages`` pages, as a tree of places.
+    """A host's expression, from ``pages`` pages, as a tree of places."""
 
-    ``sample`` are the least hashes of main texts of the host. Copies of a page count once, up to
-    ``SAMPLED`` different pages the counts of texts are exact, and beyond that they are those of
-    the same pages in whatever order and grouping pages come.
-    """
-
-    def __init__(self, pages: int = 0, root: Place | None = None, sample: set[int] | None = None):
-        self.pages, self.root, self.sample = pages, root or Place(""), sample or set()
+    def __init__(self, pages: int = 0, root: Place | None = None):
+        self.pages, self.root = pages, root or Place("")
 
-    def _take(self, root: Place, pages: int, hashes: set[int]):
-        if not hashes <= self.sample:
-            self.sample = set(sorted(self.sample | hashes)[:SAMPLED])
+    def _take(self, root: Place, pages: int):
         if self.pages:
             self.root.take(root)
         else:
@@ -390,15 +380,12 @@ class Wrapper:
         self.pages += pages
 
     def add_page(self, blocks: list[Block], stream: list[str]):
-        page = _main_hash(blocks)
-        sampled = len(self.sample) < SAMPLED or page <= max(self.sample)
-        met = {page} if sampled else ()
-        at, stack = 0, [Place("", met=met)]
+        at, stack = 0, [Place("")]
         for token in stream:
             if token[0] == "/":
                 stack.pop().fold()
                 continue
-            place = Place(token, met=met)
+            place = Place(token)
             stack[-1].inner.append(place)
             if token != "#":
                 stack.append(place)
@@ -408,37 +395,40 @@ class Wrapper:
             if not block.dropped:
                 place.chars = len(block.text)
                 place.linked = place.chars if block.menu else 0
-                if sampled:
-                    place.texts = {_digest(block.path, block.text): {page}}
-                    place.shown = block.text if len(block.text) <= 40 else ""
+                place.text = _digest(block.path, block.text)
+                place.shown = block.text if len(block.text) <= 40 else ""
         stack[0].fold()
-        self._take(stack[0], 1, {page} if sampled else set())
+        self._take(stack[0], 1)
 
     def add(self, other: Wrapper):
-        self._take(other.root, other.pages, other.sample)
+        self._take(other.root, other.pages)
 
     def dump(self) -> str:
-        return json.dumps([self.pages, self.root.dump(self.sample), sorted(self.sample)], ensure_ascii=False)
+        return json.dumps([self.pages, self.root.dump()], ensure_ascii=False)
 
     @classmethod
     def load(cls, dumped: str) -> Wrapper:
-        pages, root, sample = json.loads(dumped)
-        return cls(pages, Place.load(root), set(sample))
+        pages, root = json.loads(dumped)
+        return cls(pages, Place.load(root))
 
     def expression(self) -> str:
         """The wrapper as a regular expression over tokens, for people to read."""
         return " ".join(token for place in self.root.inner for token in place.tokens())
 
-    def rules(self) -> str:
-        """What extraction needs: template texts, menu places, and the path that holds most content."""
-        least = max(MIN_PAGES, MIN_SHARE * len(self.sample))
-        template, menus, mass = set(), set(), Counter()
+    def rules(self, shared: list[tuple[str, bool, bool, list[int]]]) -> str:
+        """What extraction needs: template texts, menu places, and the path that holds most content.
+
+        ``shared`` is what the different pages of the host share, of all of them: paths, whether enough
+        pages have the path, whether all texts there are template, and which texts are.
+        """
+        common = {path for path, often, _, _ in shared if often}
+        whole = {path for path, _, known, _ in shared if known}
+        template = {text for *_, texts in shared for text in texts}
+        menus, mass = set(), Counter()
         for path, place in self.root.walk():
-            known = {text for text, met in place.texts.items() if len(met & self.sample) >= least}
-            template |= known
-            if len(place.met & self.sample) >= least and 2 * place.linked > place.chars:
+            if path in common and 2 * place.linked > place.chars:
                 menus.add(path)
-            if place.chars and not (known and len(known) == len(place.texts)):
+            if place.chars and path not in whole:
                 # A place's content counts for all elements around it, less the further out.
                 steps = path.split("/")
                 for depth in range(1, len(steps)):
@@ -478,18 +468,27 @@ def extract(html: str, rules: dict | None = None) -> str:
 
 
 def _infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A wrapper per host, and a row per block of a page: its path and text, and the page's main text."""
     wrappers: dict[str, Wrapper] = {}
 
     def sent():
         rows = pd.DataFrame({"host": list(wrappers), "wrapper": [w.dump() for w in wrappers.values()]})
         wrappers.clear()
-        return rows
+        return rows.reindex(columns=list(_FOUND)).astype(_FOUND)
 
     for rows in batches:
+        seen = {}
         for host, html in zip(rows["host"], rows["html"]):
-            wrappers.setdefault(host, Wrapper()).add_page(*parse(html))
+            blocks, stream = parse(html)
+            wrappers.setdefault(host, Wrapper()).add_page(blocks, stream)
+            main = _main_hash(blocks)
+            seen[host, None, None, main] = None
+            for block in blocks:
+                seen[host, block.path, None if block.dropped else _digest(block.path, block.text), main] = None
             if len(wrappers) > HOSTS_PER_TASK:
                 yield sent()
+        found = pd.DataFrame(list(seen), columns=["host", "path", "text", "main"], dtype=object)
+        yield found.reindex(columns=list(_FOUND)).astype(_FOUND)
     if wrappers:
         yield sent()
 
@@ -506,18 +505,50 @@ def _with_host(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), host.alias("host"))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """``host, wrapper`` of all hosts, each from all of its pages, kept."""
+def wrappers(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``host, wrapper`` of all hosts, each from all of its pages, and ``host, path, text, main`` of their blocks, kept.
+
+    Of the latter, each page also has a row without a path.
+    """
     schema = "host string, wrapper string"
-    parts = _with_host(pages).select("host", "html").mapInPandas(_infer, schema)
+    found = _with_host(pages).select("host", "html").mapInPandas(_infer, f"{schema}, path string, text bigint, main bigint")
+    found = materialise(found, "found")
+    parts = found.where("wrapper IS NOT NULL").select("host", "wrapper")
     dealt = parts.withColumn("piece", F.pmod(F.xxhash64("wrapper"), F.lit(FAN_IN)))
     merged = dealt.groupBy("host", "piece").applyInPandas(_merge, schema)
-    return materialise(merged.groupBy("host").applyInPandas(_merge, schema), "wrappers")
+    blocks = found.where("wrapper IS NULL").select("host", "path", "text", "main")
+    return materialise(merged.groupBy("host").applyInPandas(_merge, schema), "wrappers"), blocks
+
+
+def shared_places(blocks: DataFrame) -> DataFrame:
+    """What different pages of a host share: ``host, shared``, an array of ``path, often, whole, texts``.
+
+    All pages count, copies of a page once. ``often`` says that enough pages have the path, ``texts``
+    are the texts that enough pages have there, ``whole`` says that there are no others. Paths with
+    neither are left out, so a host has no more of them than twice those of its average page.
+    """
+    blocks = blocks.distinct()
+    pages = blocks.where("path IS NULL").groupBy("host").agg(F.count("*").alias("pages"))
+    enough = F.greatest(F.lit(float(MIN_PAGES)), MIN_SHARE * F.col("pages"))
+    texts = blocks.where("path IS NOT NULL").groupBy("host", "path", "text").agg(F.count("*").alias("met")).join(pages, "host")
+    is_text = F.col("text").isNotNull()
+    known = is_text & (F.col("met") >= enough)
+    by_text = texts.groupBy("host", "path").agg(
+        F.collect_list(F.when(known, F.col("text"))).alias("texts"),
+        (F.bool_or(known) & ~F.bool_or(is_text & ~known)).alias("whole"),
+    )
+    met = blocks.where("path IS NOT NULL").select("host", "path", "main").distinct().groupBy("host", "path").agg(F.count("*").alias("met"))
+    often = met.join(pages, "host").select("host", "path", (F.col("met") >= enough).alias("often"))
+    places = by_text.join(often, ["host", "path"]).where((F.size("texts") > 0) | F.col("often"))
+    return places.groupBy("host").agg(F.to_json(F.collect_list(F.struct("path", "often", "whole", "texts"))).alias("shared"))
 
 
 @F.pandas_udf(StringType())
-def _rules(dumped: pd.Series) -> pd.Series:
-    return dumped.map(lambda text: Wrapper.load(text).rules())
+def _rules(dumped: pd.Series, shared: pd.Series) -> pd.Series:
+    def places(text):
+        return [(p["path"], p["often"], p["whole"], p["texts"]) for p in json.loads(text)] if text else []
+
+    return pd.Series([Wrapper.load(one).rules(places(text)) for one, text in zip(dumped, shared)], dtype=object)
 
 
 @F.pandas_udf(StringType())
@@ -532,6 +563,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     Null html is an empty page, whose text is empty; pages without a host are a host of their
     own. Repeated rows come out repeatedly. Other columns are not read.
     """
-    rules = materialise(wrappers(pages).select("host", _rules("wrapper").alias("rules")), "rules")
+    found, blocks = wrappers(pages)
+    known = found.join(shared_places(blocks), "host", "left")
+    rules = materialise(known.select("host", _rules("wrapper", "shared").alias("rules")), "rules")
     text = _with_host(pages).join(rules, "host", "left").select("page_id", "url", _extract("html", "rules").alias("text"))
     return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
