@@ -82,4 +82,4 @@ def test_stages_keep_columns_named_like_their_own(spark, corpus):
 def test_all_queries_are_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14))
-    assert {name for name in __spark_entry__.oracle_sql() if name.startswith("op")} == {"op4_warc", "op6_substring_dedup", "op8_mixing", "op13_hard_negatives"}
+    assert {name for name in __spark_entry__.oracle_sql() if name.startswith("op")} == {"op4_warc", "op6_substring_dedup", "op7_quality_rules", "op8_mixing", "op13_hard_negatives"}

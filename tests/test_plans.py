@@ -183,3 +183,14 @@ def test_a_written_map_is_parsed_once_per_line(spark, tmp_path):
     assert "value" not in after and "from_json" in before
     shares = __spark_entry__.bigram_relfreq_pairs(spark, str(tmp_path))
     assert sorted(map(tuple, result.collect())) == sorted(map(tuple, shares.collect()))
+
+
+def test_shares_are_joined_without_sorting_the_bigrams(corpus):
+    text = plan(W.bigram_relfreq_pairs(corpus(random_lines())))
+    assert "ShuffledHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_merged_maps_are_made_once_for_their_shares(corpus):
+    made = [W.bigram_count_stripes(corpus(random_lines()), 4) for _ in range(2)]
+    text = plan(W.normalised_stripes(W.merge_stripes(*made, "w1"), "w1"))
+    assert "FullOuter" not in text and "Generate" not in text

@@ -14,6 +14,7 @@ from wordmill.functions.scores import ratio
 from wordmill.operators.stripes import collect_stripes, part_of
 
 SALTS = 16
+FREQUENT_FIRSTS = 1000
 
 
 def bigrams(lines: DataFrame) -> DataFrame:
@@ -47,18 +48,26 @@ def bigram_grouping_sets(lines: DataFrame) -> DataFrame:
 
 
 def _with_marginals(lines: DataFrame, salts: int) -> DataFrame:
-    # A join, not a window over w1, and in as many parts per first word as there are salts: a
-    # word that starts most bigrams is then no single task's work. Its total is one short row,
-    # repeated for each part.
-    counts = bigram_counts(lines)
-    parts = _marginals(counts).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return counts.withColumn("part", part_of(F.col("w2"), salts)).join(parts, ["w1", "part"])
+    # A join, not a window over w1. A word that starts very many bigrams is in as many parts as
+    # there are salts, so that it is no single task's work; its total is repeated for each part.
+    # Any other first word has a small share of the bigrams and is in one part. The totals are
+    # short rows, which a task holds, so that the bigrams need no sorting.
+    # First words are never null; said here, it is said to all who read the counts, which are shuffled once.
+    counts = bigram_counts(lines).where(F.col("w1").isNotNull())
+    totals = _marginals(counts)
+    frequent = totals.orderBy(F.desc("total"), "w1").limit(FREQUENT_FIRSTS)
+    frequent = F.broadcast(frequent.select("w1", F.lit(salts).alias("parts")))
+    last = F.coalesce("parts", F.lit(1)) - 1
+    parts = totals.join(frequent, "w1", "left").select("w1", "total", F.explode(F.sequence(F.lit(0), last)).alias("part"))
+    part = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("w2"), F.lit(salts)).cast("int"))
+    dealt = counts.join(frequent, "w1", "left").select("w1", "w2", "n", part.alias("part"))
+    return dealt.join(parts.hint("shuffle_hash"), ["w1", "part"])
 
 
 def bigram_relfreq_pairs(lines: DataFrame, salts: int = SALTS) -> DataFrame:
     """Share of each bigram among those with the same first word: ``w1, w2, rf``.
 
-    ``salts`` is how many tasks share the bigrams of one first word; the result is the same.
+    ``salts`` is how many tasks share the bigrams of a frequent first word; the result is the same.
     """
     return _with_marginals(lines, salts).select("w1", "w2", ratio(F.col("n"), F.col("total")).alias("rf"))
 
@@ -70,7 +79,8 @@ def bigram_relfreq_stripes(lines: DataFrame, buckets: int = 1) -> DataFrame:
     is in, for every word and at every size. With one bucket each word is one row, and all its
     followers have to fit into one task.
     """
-    entries = _with_marginals(lines, buckets).select("w1", "part", "w2", ratio(F.col("n"), F.col("total")).alias("rf"))
+    part = part_of(F.col("w2"), buckets).alias("part")
+    entries = _with_marginals(lines, SALTS).select("w1", part, "w2", ratio(F.col("n"), F.col("total")).alias("rf"))
     return collect_stripes(entries, "w1", "w2", "rf")
 
 
