@@ -194,3 +194,17 @@ def test_merged_maps_are_made_once_for_their_shares(corpus):
     made = [W.bigram_count_stripes(corpus(random_lines()), 4) for _ in range(2)]
     text = plan(W.normalised_stripes(W.merge_stripes(*made, "w1"), "w1"))
     assert "FullOuter" not in text and "Generate" not in text
+
+
+def test_partners_travel_in_two_bytes_and_rarer_ones_are_not_lost(corpus, monkeypatch):
+    lines = corpus(random_lines())
+    expected = sorted(map(tuple, count_cooccurrence(lines, 5).pairs.collect()))
+    found = W.count_word_sets(lines)
+    numbers = cooccurrence.numbered(cooccurrence.supported_words(found.words, 5))
+    sets = cooccurrence.numbered_sets(found.bags, numbers, 0)
+    assert dict(cooccurrence._partners(sets).dtypes)["partners"] == "array<smallint>"
+    # As if only seven numbers fitted into two bytes.
+    monkeypatch.setattr(cooccurrence, "SHORT_MIN", cooccurrence.SHORT_MAX - 6)
+    for frequent_lines in (10**6, 60):
+        pairs = count_cooccurrence(lines, 5, frequent_lines=frequent_lines).pairs
+        assert sorted(map(tuple, pairs.collect())) == expected
