@@ -208,3 +208,11 @@ def test_partners_travel_in_two_bytes_and_rarer_ones_are_not_lost(corpus, monkey
     for frequent_lines in (10**6, 60):
         pairs = count_cooccurrence(lines, 5, frequent_lines=frequent_lines).pairs
         assert sorted(map(tuple, pairs.collect())) == expected
+
+
+def test_ranked_pairs_are_counted_before_the_sort(spark, tmp_path):
+    rows = list(enumerate(random_lines()))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    ranked = __spark_entry__.pmi_ranked(spark, str(tmp_path))
+    assert "Aggregate(keys=[x" not in plan(ranked) and "rangepartitioning" in plan(ranked)
+    assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, __spark_entry__.pmi_pairs(spark, str(tmp_path)).collect()))
