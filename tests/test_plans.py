@@ -216,3 +216,13 @@ def test_ranked_pairs_are_counted_before_the_sort(spark, tmp_path):
     ranked = __spark_entry__.pmi_ranked(spark, str(tmp_path))
     assert "Aggregate(keys=[x" not in plan(ranked) and "rangepartitioning" in plan(ranked)
     assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, __spark_entry__.pmi_pairs(spark, str(tmp_path)).collect()))
+
+
+def test_partners_of_a_word_are_sorted_as_plain_numbers(corpus):
+    partners = cooccurrence._partners(cooccurrence.numbered_sets(W.count_word_sets(corpus(random_lines())).bags, corpus(["a"]).selectExpr("value word", "1L n", "1 id"), 0))
+    assert not partners.schema["partners"].dataType.containsNull
+
+
+def test_pairs_are_mirrored_without_an_array_of_rows(corpus):
+    text = plan(W.pmi_pairs(corpus(random_lines())))
+    assert "explode([false,true])" in text and "named_struct" not in text[: text.index("Generate explode(partners")]

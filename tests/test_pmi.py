@@ -5,6 +5,7 @@ import pytest
 import model
 import wordmill as W
 from wordmill.functions.scores import VECTOR
+from wordmill.operators import cooccurrence
 from wordmill.operators.cooccurrence import count_cooccurrence
 from wordmill.plans.pmi import pairs_from_counts, stripes_from_counts
 from wordmill.sources.intermediate import read_counts, write_counts
@@ -135,3 +136,28 @@ def test_empty_corpus(corpus):
     assert W.pmi_stripes(empty).count() == 0
     assert W.pair_counts(corpus(["", "1 2"])).count() == 0
 
+
+def test_pairs_below_support_never_reach_the_aggregate(corpus):
+    # 300 words in a line of their own each, beside two pairs with support.
+    lines = [f"hub a{chr(97 + i // 26)}{chr(97 + i % 26)}x hub" for i in range(300)] + ["hub p", "hub q p"] * 9
+    found = cooccurrence.count_word_sets(corpus(lines))
+    numbers = cooccurrence.numbered(cooccurrence.supported_words(found.words, 1))
+    names = {row.id: row.word for row in numbers.collect()}
+    partners = cooccurrence._partners(cooccurrence.numbered_sets(found.bags, numbers, 0))
+    counts = cooccurrence.count_under_rarer_word(partners, 3, 9).collect()
+    assert sorted((names[r.x], names[r.y], r.n_xy) for r in counts) == [("p", "hub", 18), ("q", "hub", 9), ("q", "p", 9)]
+
+
+def test_copies_beyond_a_run_count_in_full(corpus):
+    lines = ["a b c"] * 40 + ["a b"] * 17 + ["b c"] * 16 + ["c d"] * 3 + ["a d"] * 2 + ["d a b"] * 15
+    for support in (1, 3, 10, 16, 18, 60):
+        rows, company = model.pmi_rows(lines, support, 100)
+        assert as_rows(W.pmi_pairs(corpus(lines), support)) == rows
+
+
+def test_words_on_very_many_lines_are_counted_in_shares(corpus, monkeypatch):
+    lines = random_lines()
+    for support in (1, 5, 20):
+        rows, company = model.pmi_rows(lines, support, 100)
+        monkeypatch.setattr(cooccurrence, "LONG_LINES", 25)
+        assert as_rows(W.pmi_pairs(corpus(lines), support)) == rows
